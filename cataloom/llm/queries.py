@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .recompression import op7_substring_recompression
 from .simhash import op1_simhash_vptree
 from .toxicity import op9_toxicity_ftrl
 
 QUERIES = {
     "op1_simhash_vptree": op1_simhash_vptree,
+    "op7_substring_recompression": op7_substring_recompression,
     "op9_toxicity_ftrl": op9_toxicity_ftrl,
 }
 
