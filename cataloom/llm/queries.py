@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .packing import op2_best_fit_packing
 from .recompression import op7_substring_recompression
+from .secrets import op5_secret_scans
 from .simhash import op1_simhash_vptree
 from .toxicity import op9_toxicity_ftrl
 
 QUERIES = {
     "op1_simhash_vptree": op1_simhash_vptree,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_secret_scans": op5_secret_scans,
     "op7_substring_recompression": op7_substring_recompression,
     "op9_toxicity_ftrl": op9_toxicity_ftrl,
 }
