@@ -19,7 +19,7 @@ shared, the windows themselves are compared by 128-bit hashes over their words.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 
 WINDOW = 35
-LEVELS = 2
+LEVELS = 3
 GROUP_WORDS = 300_000
 CACHE = 1_000_000
 BROADCAST_KEYS = 500_000
@@ -140,6 +140,14 @@ def recompress(words: np.ndarray, lengths: np.ndarray, levels: int = LEVELS) ->
     return made
 
 
+def rolling(words: np.ndarray, base: np.uint64) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function that gives the polynomial hashes, modulo 2**64, of the words from a to b."""
+    powers = np.cumprod(np.full(len(words), base, dtype=np.uint64))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * powers)])
+    back = np.cumprod(np.full(len(words), pow(int(base), -1, 1 << 64), dtype=np.uint64))
+    return lambda a, b: (sums[b] - sums[a]) * back[a]
+
+
 def anchors(words: np.ndarray, lengths: np.ndarray, window: int = WINDOW, levels: int = LEVELS):
     """(start, key, place) for every window: its first word, its anchor's key (level and name) and
     the anchor's first word."""
@@ -150,7 +158,7 @@ def anchors(words: np.ndarray, lengths: np.ndarray, window: int = WINDOW, levels
     todo = np.arange(len(starts))
     if not len(starts):
         return starts, key, place
-    made = recompress(words, lengths, levels)
+    made, looked_at = recompress(words, lengths, levels), rolling(words, _BASES[0])
     for level in range(levels, -1, -1):
         sym = made[level]
         own = starts[todo]
@@ -176,7 +184,8 @@ def anchors(words: np.ndarray, lengths: np.ndarray, window: int = WINDOW, levels
                 best[of] = np.minimum(table[lo[of]], table[hi[of] - (1 << k) + 1])
                 table = np.minimum(table[: -(1 << k)], table[(1 << k) :]) if len(table) > 1 << k else table
             chosen = order[best & np.uint64((1 << 24) - 1) if len(order) < 1 << 24 else best].astype(np.int64)
-            key[now] = _mix(sym.name[chosen] + _salt(level + 301))
+            # the words that the symbol's making looked at lie in the window, so the key may tell them all
+            key[now] = _mix(looked_at(sym.low[chosen], sym.high[chosen]) + sym.name[chosen] + _salt(level + 301))
             place[now] = sym.start[chosen]
         todo = todo[~some]
         if not len(todo):
@@ -186,14 +195,7 @@ def anchors(words: np.ndarray, lengths: np.ndarray, window: int = WINDOW, levels
 
 def window_hashes(table: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit polynomial hashes of the words of each window, the halves of one 128-bit value."""
-    made = []
-    for column, base in zip(table.T, _BASES):
-        inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        powers = np.cumprod(np.full(len(column), base, dtype=np.uint64))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(column * powers)])
-        back = np.cumprod(np.full(len(column), inverse, dtype=np.uint64))
-        made.append(_mix((sums[starts + window] - sums[starts]) * back[starts]))
-    return made[0], made[1]
+    return tuple(_mix(rolling(column, base)(starts, starts + window)) for column, base in zip(table.T, _BASES))
 
 
 def _groups(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[list[bytes]]]]:
