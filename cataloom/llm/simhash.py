@@ -111,6 +111,7 @@ class _Forest:
 
     def __init__(self, n: int):
         self.up = np.arange(n)
+        self.joined: list[tuple[np.ndarray, np.ndarray]] = []
 
     def _roots(self, x: np.ndarray) -> np.ndarray:
         while True:
@@ -120,18 +121,25 @@ class _Forest:
             x = above
 
     def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Join the ends of all links; ``joined`` gets those that were needed."""
+        x, y = a, b
         while len(a):
-            a, b = self._roots(a), self._roots(b)
-            apart = a != b
-            a, b = a[apart], b[apart]
-            np.minimum.at(self.up, np.maximum(a, b), np.minimum(a, b))
+            x, y = self._roots(x), self._roots(y)
+            apart = x != y
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            high, low = np.maximum(x, y), np.minimum(x, y)
+            np.minimum.at(self.up, high, low)
+            won = np.flatnonzero(self.up[high] == low)
+            won = won[np.unique(high[won], return_index=True)[1]]
+            self.joined.append((a[won], b[won]))
 
     def roots(self) -> np.ndarray:
         return self._roots(np.arange(len(self.up)))
 
 
-def shard_links(values: np.ndarray, mask: int, block_radius: int, radius: int, cell: int = CELL_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of one shard: (member, root of its component in the shard)."""
+def shard_links(values: np.ndarray, mask: int, block_radius: int, radius: int, pairs: bool = False, cell: int = CELL_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of one shard: (member, root of its component in the shard), or with ``pairs``
+    as many links whose ends are within the radius of each other."""
     values = np.unique(values)
     forest, rng = _Forest(len(values)), np.random.default_rng(len(values))
     todo = [np.arange(len(values))]
@@ -151,14 +159,18 @@ def shard_links(values: np.ndarray, mask: int, block_radius: int, radius: int, c
             head = values[own[at : at + strip]]
             a, b = np.nonzero(np.bitwise_count(head[:, None] ^ values[own[at:]][None, :]) <= radius)
             forest.link(own[at + a[a < b]], own[at + b[a < b]])
+    if pairs:
+        a, b = (np.concatenate([x[i] for x in forest.joined] or [np.zeros(0, dtype=np.int64)]) for i in (0, 1))
+        return values[np.maximum(a, b)], values[np.minimum(a, b)]
     roots = forest.roots()
     moved = roots != np.arange(len(values))
     return values[moved], values[roots[moved]]
 
 
-def hamming_links(distinct: DataFrame, n: int, radius: int = 4, blocks: int = 3, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def hamming_links(distinct: DataFrame, n: int, radius: int = 4, blocks: int = 3, pairs: bool = False, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(u, v): links that connect exactly the distinct ``fingerprint`` values that pairs within
-    ``radius`` bits connect.  ``n``: their number, which sets the depth of the trees."""
+    ``radius`` bits connect.  ``n``: their number, which sets the depth of the trees.  With
+    ``pairs`` the ends of each link are such a pair."""
     depth = max(0, min(18, math.ceil(math.log2(max(1, n) / shard_rows))))
     masks, near = block_masks(blocks), radius // blocks
     sample = np.array(
@@ -176,7 +188,7 @@ def hamming_links(distinct: DataFrame, n: int, radius: int = 4, blocks: int = 3,
 
     def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         values = b["fingerprint"].to_numpy(np.int64).view(np.uint64)
-        a, root = shard_links(values, masks[int(key[0]) & 15], near, radius)
+        a, root = shard_links(values, masks[int(key[0]) & 15], near, radius, pairs)
         return pd.DataFrame({"u": a.view(np.int64), "v": root.view(np.int64)})
 
     dealt = distinct.select("fingerprint").mapInPandas(assign, "shard long, fingerprint long")
@@ -210,6 +222,60 @@ def near_duplicates(
     return rows.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id", "n_same")
 
 
+def shingle_jaccard(a: bytes, b: bytes, words: int) -> float:
+    """Jaccard similarity of the sets of word shingles of two texts, ASCII letters lower-cased."""
+
+    def shingles(raw: bytes) -> set[bytes]:
+        parts = raw.lower().split()
+        return {b" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))}
+
+    p, q = shingles(a), shingles(b)
+    return len(p & q) / len(p | q)
+
+
+def keep_one_of_near_duplicates(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 9, blocks: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, the one with the smallest id.
+
+    A similarity of 0.8 over word shingles makes SimHashes differ in about 9 bits.  Pairs within
+    ``radius`` bits found by the vantage-point trees are compared on their texts, and only those of at
+    least ``similarity`` count as links; equal fingerprints are links as they are.  Null ids
+    come last; of rows with one id one stays.  All columns stay as they are.
+    """
+    scratch = Scratch(docs.sparkSession, "near_duplicates")
+
+    @F.pandas_udf("long")
+    def hashed(raw: pd.Series) -> pd.Series:
+        made = np.fromiter((fingerprint(x, words) for x in raw), dtype=np.uint64, count=len(raw))
+        return pd.Series(made.view(np.int64))
+
+    @F.pandas_udf("double")
+    def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([shingle_jaccard(x, y, words) for x, y in zip(a, b)], dtype="float64")
+
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    base = scratch.save(docs.withColumns({"_fp": hashed(text), "_row": F.monotonically_increasing_id()}), "base")
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), F.col("_row").alias("row"))
+    groups = scratch.save(
+        base.groupBy(F.col("_fp").alias("fingerprint")).agg(F.min(order).alias("first"), F.count("*").alias("n")), "groups"
+    )
+    pairs = scratch.save(hamming_links(groups, groups.count(), radius, blocks, pairs=True).distinct(), "pairs")
+    ends = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "fingerprint")
+    rows = groups.join(ends, "fingerprint").select("fingerprint", F.col("first.row").alias("_row"))
+    texts = scratch.save(base.select("_row", text.alias("raw")).join(rows, "_row").select("fingerprint", "raw"), "texts")
+    a = texts.select(F.col("fingerprint").alias("u"), F.col("raw").alias("a"))
+    b = texts.select(F.col("fingerprint").alias("v"), F.col("raw").alias("b"))
+    alike = pairs.join(a, "u").join(b, "v").where(jaccard("a", "b") >= similarity).select("u", "v")
+    roots = connected_components(alike, scratch).select(F.col("node").alias("fingerprint"), "root")
+    rooted = groups.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1")
+    several = rooted.join(firsts.select("root", "kept"), "root").select(F.col("fingerprint").alias("_fp"), F.col("kept.row").alias("kept"))
+    spare = scratch.save(base.select("_fp", "_row").join(several, "_fp").where("_row <> kept").select("_row"), "spare")
+    few = spare.count() <= 1_000_000  # 8 bytes a row, so at most some 30 MB are broadcast
+    return base.join(F.broadcast(spare) if few else spare, "_row", "left_anti").select(*docs.columns)
+
+
 def op1_simhash_vptree(spark, sf_dir: str) -> DataFrame:
     """Contract query: 4-word shingles, links at 4 or fewer differing bits, over all ``documents``."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

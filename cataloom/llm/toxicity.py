@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 20
@@ -120,22 +120,22 @@ def fit(labelled: DataFrame, bits: int = BITS, epochs: int = EPOCHS, seed: int =
     return weights, float(bias)
 
 
-def score(docs: DataFrame, weights: np.ndarray, bias: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row; an empty text scores the bias alone."""
-    sent = docs.sparkSession.sparkContext.broadcast((weights, bias))  # 4 MB at 20 bits, whatever the input
+def score_column(spark, weights: np.ndarray, bias: float, text: Column) -> Column:
+    """The score (0 to 1) of a text column; null and empty texts score the bias alone."""
+    sent = spark.sparkContext.broadcast((weights, bias))  # 4 MB at 20 bits, whatever the input
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w, base = sent.value
         bits, words = len(w).bit_length() - 1, _worker_words()
-        for b in batches:
-            out = np.zeros(len(b))
-            for i, text in enumerate(b["text"]):
+        for texts in batches:
+            out = np.zeros(len(texts))
+            for i, text in enumerate(texts):
                 at = features(words.of(text), bits)
                 out[i] = base + w[np.unique(at[w[at] != 0])].sum(dtype=np.float64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": 1 / (1 + np.exp(-np.clip(out, -35, 35)))})
+            yield pd.Series(1 / (1 + np.exp(-np.clip(out, -35, 35))))
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return picked.mapInPandas(run, "doc_id long, score double")
+    return run(F.coalesce(text, F.lit("")))
 
 
 _WORDS: list[Words] = []
@@ -147,7 +147,7 @@ def _worker_words() -> Words:
     return _WORDS[0]
 
 
-def held_out(doc_id) -> F.Column:
+def held_out(doc_id: str) -> Column:
     """True where crc32 of the id as text is divisible by 5; such rows are never learnt from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -176,12 +176,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int
     not held out; no labels at all give 0.5 everywhere.
     """
     weights, bias = fit(training_rows(docs, labels, sample=sample), bits)
-    scored = score(docs, weights, bias)
+    scored = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), score_column(docs.sparkSession, weights, bias, F.col("text")).alias("score")
+    )
     return scored.select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` whose text scores below 0.5, all columns as they are."""
+    weights, bias = fit(training_rows(docs, labels, sample=sample), bits)
+    scored = docs.withColumn("_toxic", score_column(docs.sparkSession, weights, bias, F.col("text")))
+    return scored.where("_toxic < 0.5").select(*docs.columns)
+
+
 def op9_toxicity_ftrl(spark, sf_dir: str) -> DataFrame:
     """Contract query over all ``documents`` with the labels of ``labels``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
