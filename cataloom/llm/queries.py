@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .byte_bpe import op6_byte_bpe
 from .packing import op2_best_fit_packing
 from .recompression import op7_substring_recompression
 from .secrets import op5_secret_scans
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_simhash_vptree": op1_simhash_vptree,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_secret_scans": op5_secret_scans,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_substring_recompression": op7_substring_recompression,
     "op9_toxicity_ftrl": op9_toxicity_ftrl,
 }
