@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from .ann import op4_learned_partitions
 from .byte_bpe import op6_byte_bpe
 from .packing import op2_best_fit_packing
+from .pseudo_likelihood import op8_pseudo_likelihood
+from .quality import op3_quality_cotraining
 from .recompression import op7_substring_recompression
 from .secrets import op5_secret_scans
 from .simhash import op1_simhash_vptree
+from .topk import op10_exact_topk
 from .toxicity import op9_toxicity_ftrl
 
 QUERIES = {
     "op1_simhash_vptree": op1_simhash_vptree,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_quality_cotraining": op3_quality_cotraining,
+    "op4_learned_partitions": op4_learned_partitions,
     "op5_secret_scans": op5_secret_scans,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_substring_recompression": op7_substring_recompression,
+    "op8_pseudo_likelihood": op8_pseudo_likelihood,
     "op9_toxicity_ftrl": op9_toxicity_ftrl,
+    "op10_exact_topk": op10_exact_topk,
 }
 
 ORACLE_SQL: dict[str, str] = {}
