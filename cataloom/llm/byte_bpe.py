@@ -13,7 +13,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -23,8 +22,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 800_000
-PAIRS = 4_000_000
+from .resident import resident
+
+CACHE = 600_000
+PAIRS = 1_000_000
 
 
 def _merge(parts: list[bytes], ranks: dict[bytes, int], below: int) -> list[bytes]:
@@ -141,10 +142,9 @@ class ByteBpe:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> ByteBpe:
     """The encoder of a rank file, built once in each process."""
-    return ByteBpe(path)
+    return resident(("byte_bpe", path), lambda: ByteBpe(path))
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_words import slices, split_words
+from .resident import resident
 from .scratch import Scratch
 
 CAPACITY = 2048
 SHARD_PIECES = 32_768
-CACHE = 1_000_000
+CACHE = 400_000
 SEPARATOR = "\ue000"
 _NEVER = np.int64(1) << 60
 
@@ -103,13 +104,8 @@ class WordIds:
         return flat, np.diff(total)
 
 
-_IDS: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
-    if path not in _IDS:
-        _IDS[path] = WordIds(path)
-    return _IDS[path]
+    return resident(("packing", path), lambda: WordIds(path))
 
 
 def pieces(

@@ -27,12 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .resident import resident
 from .scratch import Scratch
 
 WINDOW = 35
 LEVELS = 3
 GROUP_WORDS = 300_000
-CACHE = 1_000_000
+CACHE = 400_000
 BROADCAST_KEYS = 500_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -60,13 +61,8 @@ class WordNames(dict):
         return self.table[at]
 
 
-_NAMES: list[WordNames] = []
-
-
 def _names() -> WordNames:
-    if not _NAMES:
-        _NAMES.append(WordNames())
-    return _NAMES[0]
+    return resident("recompression", WordNames)
 
 
 def _salt(n: int) -> np.uint64:

@@ -10,10 +10,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .resident import resident
+
 BITS = 20
 SAMPLE = 12_000
 EPOCHS = 5
-CACHE = 1_000_000
+CACHE = 300_000
 _KEEP = 0x7FFFFFFFFFFFFFFF
 
 
@@ -98,7 +100,7 @@ def fit(labelled: DataFrame, bits: int = BITS, epochs: int = EPOCHS, seed: int =
     """
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, rows = Words(), []
+        words, rows = _worker_words(), []
         for b in batches:
             for text, label in zip(b["text"], b["label"]):
                 rows.append((np.unique(features(words.of(text), bits)).astype(np.int32), float(label)))
@@ -138,13 +140,8 @@ def score_column(spark, weights: np.ndarray, bias: float, text: Column) -> Colum
     return run(F.coalesce(text, F.lit("")))
 
 
-_WORDS: list[Words] = []
-
-
 def _worker_words() -> Words:
-    if not _WORDS:
-        _WORDS.append(Words())
-    return _WORDS[0]
+    return resident("toxicity", Words)
 
 
 def held_out(doc_id: str) -> Column:
