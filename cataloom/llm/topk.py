@@ -4,8 +4,8 @@ Candidates are dealt to blocks; a block holds one list per component, sorted by
 reads all lists of a block in step, each from the end that its own component's sign makes the
 better one.  What it has read of a candidate bounds its score from below (the rest at the worst
 value of each list) and above (the rest at the value the list has come to).  Candidates
-whose upper bound falls below the k-th best lower bound are out; once few are left, or the lists
-end, their scores are resolved and the best k of the block returned.
+whose upper bound falls below the k-th best lower bound are out; once an eighth of the block is left,
+or the lists end, the scores of the rest are resolved and the best k of the block returned.
 """
 
 from __future__ import annotations
@@ -21,48 +21,46 @@ from .vectors import best, blocks_for, distinct_vectors, expanded, spread, stack
 SCALE = 256
 BLOCK = 4096
 QUERY_BLOCK = 1024
-STEPS = 24
+STOPS = (0.4, 0.55, 0.7, 0.85, 1.0)
 
 
 class SortedLists:
-    """The lists of a block of integer vectors: places and values by descending value."""
+    """The lists of a block of integer vectors: places by descending value, and each place's rank."""
 
     def __init__(self, x: np.ndarray):
+        n = len(x)
         self.x = x
         self.order = np.ascontiguousarray(np.argsort(-x, axis=0, kind="stable").T)
-        self.value = np.ascontiguousarray(np.take_along_axis(x, self.order.T, axis=0).T)
+        self.value = np.ascontiguousarray(np.take_along_axis(x, self.order.T, axis=0).T.astype(np.float64))
+        self.rank = np.empty_like(x)
+        np.put_along_axis(self.rank, self.order.T, np.arange(n)[:, None], axis=0)
         self.read = 0
 
-    def top(self, q: np.ndarray, k: int, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, q: np.ndarray, k: int, stops: tuple[float, ...] = STOPS) -> tuple[np.ndarray, np.ndarray]:
         """(places, scores) of vectors among which the ``k`` best are, equal scores included."""
-        n, dims = self.x.shape
-        if n <= k:
+        n = len(self.x)
+        up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
+        if n <= k or not len(up) + len(down):
             return np.arange(n), self.x @ q
-        use = np.flatnonzero(q)
-        if not len(use):
-            return np.arange(n), np.zeros(n, dtype=np.int64)
-        up = (q[use] > 0)[:, None]
-        places = np.where(up, self.order[use], self.order[use, ::-1])
-        gains = np.where(up, self.value[use], self.value[use, ::-1]) * q[use, None]
-        worst = gains[:, -1].astype(np.float64)
+        weight = q.astype(np.float64)
+        worst_up, worst_down = weight[up] * self.value[up, -1], weight[down] * self.value[down, 0]
         known = np.zeros(n)
-        seen = np.zeros((n, len(use)), dtype=np.float32)
-        open_ = np.arange(n)
-        depth, step = 0, max(1, n // steps)
-        while depth < n:
-            to = min(n, depth + step)
-            at = places[:, depth:to]
-            known += np.bincount(at.ravel(), weights=gains[:, depth:to].ravel().astype(np.float64), minlength=n)
-            seen[at, np.arange(len(use))[:, None]] = 1
-            self.read += at.size
+        open_, depth = np.arange(n), 0
+        for stop in stops:
+            to = min(n, max(depth + 1, int(n * stop)))
+            for dims, part in ((up, slice(depth, to)), (down, slice(n - to, n - depth))):
+                at = self.order[dims, part].ravel()
+                known += np.bincount(at, weights=(self.value[dims, part] * weight[dims, None]).ravel(), minlength=n)
+                self.read += len(at)
             depth = to
-            frontier = gains[:, depth - 1].astype(np.float64)
-            mask = seen[open_].astype(np.float64)
-            low = known[open_] + worst.sum() - mask @ worst
-            high = known[open_] + frontier.sum() - mask @ frontier
-            limit = np.partition(low, len(low) - k)[len(low) - k]
-            open_ = open_[high >= limit]
-            if len(open_) <= 2 * k:
+            # beyond what is read a list holds nothing better than the value it has come to
+            front_up, front_down = weight[up] * self.value[up, depth - 1], weight[down] * self.value[down, n - depth]
+            rank = self.rank[open_]
+            unread = (rank[:, up] >= depth).astype(np.float64) @ np.stack([worst_up, front_up], axis=1)
+            unread += (rank[:, down] < n - depth).astype(np.float64) @ np.stack([worst_down, front_down], axis=1)
+            low, high = known[open_] + unread[:, 0], known[open_] + unread[:, 1]
+            open_ = open_[high >= np.partition(low, len(low) - k)[len(low) - k]]
+            if len(open_) <= max(4 * k, n // 8) or depth == n:
                 break
         return open_, self.x[open_] @ q
 
