@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -35,27 +36,30 @@ class IngestRun:
 def ingest(
     raw: DataFrame, pages: DataFrame, source_name: str, as_of: str, qualified: bool = True, baseline: DataFrame | None = None,
     responses: DataFrame | None = None, requested: bool = False, target: int | None = None, plain: bool = False,
+    hold: Callable[[DataFrame], DataFrame] = DataFrame.persist,
 ) -> IngestRun:
     """Candidates (with ``ordinal``) through all stages, cheap ones first.
 
     Only search candidates are qualified (``qualified``); seeds have no status.  ``pages`` has url,
-    html, http_status, final_url, error_kind.  Stages after resolution see what is left only.
+    html, http_status, final_url, error_kind.  Stages after resolution see what is left only.  ``hold``
+    keeps a stage's result, as several tables come from it and plans stay small; on a cluster it may
+    write a table and read it again.
     """
-    shaped = normalize(clean(extract(raw, source_name), plain))
-    judged = qualify(shaped) if qualified else shaped.withColumns({
+    shaped = hold(normalize(clean(extract(raw, source_name), plain)))
+    judged = hold(qualify(shaped) if qualified else shaped.withColumns({
         "qualification_status": F.lit(None).cast("string"), "qualification_reasons": F.lit(None).cast("array<string>"),
-    })
+    }))
     passed = judged.where(F.coalesce(F.col("qualification_status") == "QUALIFIED_TOOL", F.lit(True)))
     stopped = judged.where(F.col("qualification_status") != "QUALIFIED_TOOL").withColumn("stage", F.lit("Qualification"))
-    resolved = resolve(passed, baseline)
+    resolved = hold(resolve(passed, baseline))
     fresh, repeated = resolved.where("duplicate_of is null"), resolved.where("duplicate_of is not null").withColumn("stage", F.lit("Deduplication"))
-    seen = choose_logo(verify_website(with_pages(fresh, parsed_pages(pages))))
-    named = classify(with_site_evidence(seen)).withColumns({
+    seen = hold(choose_logo(verify_website(with_pages(fresh, parsed_pages(pages)))))
+    named = hold(classify(with_site_evidence(seen)).withColumns({
         "github_repository_verified": F.lit(None).cast("boolean"), "page_title": F.col("title"), "topics": F.col("github_topics"),
         "raw_description": F.lit(None).cast("string"),
         "website_verified": (F.col("verification_status") == "ACCESSIBLE_VERIFIED") & F.col("official_url").isNotNull(),
-    })
-    done = validate(enrich(named, responses, requested))
+    }))
+    done = hold(validate(hold(enrich(named, responses, requested))))
     kept = first_accepted(done, target) if target is not None else done.where("accepted")
     out = canonical(kept, as_of)
     refused = done.where("not accepted").withColumn("stage", F.lit("ValidationGate"))
@@ -70,12 +74,12 @@ def ingest(
     return IngestRun(done, out, lost[0].unionByName(lost[1]).unionByName(lost[2]), relationships(out), audit(out), funnel(facts))
 
 
-def expansion(raw: DataFrame, baseline: DataFrame, known: DataFrame | None = None, plain: bool = False) -> tuple[DataFrame, DataFrame]:
+def expansion(raw: DataFrame, baseline: DataFrame, known: DataFrame | None = None, plain: bool = False, hold: Callable[[DataFrame], DataFrame] = DataFrame.persist) -> tuple[DataFrame, DataFrame]:
     """(new records, rates): raw candidates qualified as they are, then cleaned, normalized and resolved
     against the baseline; ``known`` ids from an earlier run are left out."""
-    judged = qualify(with_raw_columns(raw))
-    good = normalize(clean(judged.where("qualification_status = 'QUALIFIED_TOOL'"), plain))
-    resolved = resolve(good, baseline)
+    judged = hold(qualify(with_raw_columns(raw)))
+    good = hold(normalize(clean(judged.where("qualification_status = 'QUALIFIED_TOOL'"), plain)))
+    resolved = hold(resolve(good, baseline))
     fresh = resolved.where("duplicate_of is null")
     if known is not None:
         fresh = fresh.join(known.select("id"), "id", "left_anti")

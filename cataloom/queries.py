@@ -741,7 +741,7 @@ def _records(spark, d) -> DataFrame:
     none = F.lit(None).cast("string")
     g = _gated(spark, d).withColumns({
         c: none for c in ("logo_url", "description_source_type", "description_generation_method", "llm_provider_used", "llm_enrichment_status")
-    } | {"external_evidence_available": F.lit(True), "source_name": F.lit("web")})
+    } | {"external_evidence_available": F.lit(True), "source_name": F.lit("web"), "github_stars": F.col("ordinal")})
     g = g.withColumns({"discovery_source_name": F.lit("api"), "discovery_source_url": F.col("url"), "discovery_source_type": F.lit("API"), "discovery_source_trust_level": F.col("source_trust_level")})
     return canonical(g.where("accepted"), AS_OF)
 
