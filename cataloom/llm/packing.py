@@ -184,13 +184,7 @@ class SumOfSquares:
         return self._put(size, size + int(fits[0]) if len(fits) else None)
 
 
-def pack(sizes: np.ndarray, capacity: int = CAPACITY, seed: int = 3) -> np.ndarray:
-    """A bin for each item.  The sum-of-squares rule places the items in a shuffled order (it keeps
-    gaps of all sizes in stock, which suits no sorted order); at the end of the input a stock of
-    gaps is of no use, so the items of bins left open are placed once more, largest first and
-    tightest gap first.  The better of both is kept."""
-    sizes = np.asarray(sizes, dtype=np.int64)
-    order = np.random.default_rng(seed).permutation(len(sizes))
+def _packed(sizes: np.ndarray, order: np.ndarray, capacity: int) -> np.ndarray:
     rule, bins = SumOfSquares(capacity), np.zeros(len(sizes), dtype=np.int64)
     for i in order.tolist():
         bins[i] = rule.place(int(sizes[i]))
@@ -205,6 +199,18 @@ def pack(sizes: np.ndarray, capacity: int = CAPACITY, seed: int = 3) -> np.ndarr
     return bins
 
 
+def pack(sizes: np.ndarray, capacity: int = CAPACITY, seed: int = 3) -> np.ndarray:
+    """A bin for each item, placed by the sum-of-squares rule.
+
+    The rule keeps gaps of all sizes in stock; at the end of the input a stock is of no use, so the
+    items of bins left open are placed once more, largest first and tightest gap first.  Both a
+    shuffled order and the largest first are tried, and the one with fewer bins is kept.
+    """
+    sizes = np.asarray(sizes, dtype=np.int64)
+    orders = (np.random.default_rng(seed).permutation(len(sizes)), np.argsort(-sizes, kind="stable"))
+    return min((_packed(sizes, order, capacity) for order in orders), key=lambda b: b.max(initial=-1))
+
+
 def sequences(made: DataFrame, n_pieces: int, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """``made`` (see ``pieces``) with sequence_id and offset.
 
