@@ -26,4 +26,21 @@ QUERIES = {
     "op10_exact_topk": op10_exact_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_substring_recompression": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+starts AS (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+windows AS (SELECT rid, i, array_to_string(w[i:i + 34], ' ') AS s FROM starts),
+twice AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+covered AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS p FROM windows JOIN twice USING (s)),
+placed AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM placed ANTI JOIN covered USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)""",
+    "op10_exact_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
