@@ -157,8 +157,10 @@ def shard_links(values: np.ndarray, mask: int, block_radius: int, radius: int, p
         strip = max(1, 4_000_000 // max(1, len(own)))
         for at in range(0, len(own), strip):
             head = values[own[at : at + strip]]
-            a, b = np.nonzero(np.bitwise_count(head[:, None] ^ values[own[at:]][None, :]) <= radius)
-            forest.link(own[at + a[a < b]], own[at + b[a < b]])
+            apart = np.bitwise_count(head[:, None] ^ values[own[at:]][None, :])
+            for limit in (radius // 3, 2 * radius // 3, radius) if pairs else (radius,):  # near pairs first
+                a, b = np.nonzero(apart <= limit)
+                forest.link(own[at + a[a < b]], own[at + b[a < b]])
     if pairs:
         a, b = (np.concatenate([x[i] for x in forest.joined] or [np.zeros(0, dtype=np.int64)]) for i in (0, 1))
         return values[np.maximum(a, b)], values[np.minimum(a, b)]
@@ -234,11 +236,11 @@ def shingle_jaccard(a: bytes, b: bytes, words: int) -> float:
 
 
 def keep_one_of_near_duplicates(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 9, blocks: int = 5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 11, blocks: int = 6, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, the one with the smallest id.
 
-    A similarity of 0.8 over word shingles makes SimHashes differ in about 9 bits.  Pairs within
+    A similarity of 0.8 over word shingles makes SimHashes differ in about 10 bits.  Pairs within
     ``radius`` bits found by the vantage-point trees are compared on their texts, and only those of at
     least ``similarity`` count as links; equal fingerprints are links as they are.  Null ids
     come last; of rows with one id one stays.  All columns stay as they are.
