@@ -12,7 +12,8 @@ lies outside by no more than the block radius goes inside as well.  By the trian
 two fingerprints within the block radius that a node separates then both are inside, so every
 pair shares at least one leaf (shard).  Within a shard the tree goes on in memory and small
 cells are compared on all 64 bits.  A shard returns a spanning forest of its links, at most one per
-fingerprint, never all its pairs.
+fingerprint, never all its pairs.  Where a link holds only if the texts agree, a second pass returns all
+pairs that the links found so far have not joined.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ SEED = 42
 SAMPLE = 4096
 SHARD_ROWS = 4096
 CELL_ROWS = 256
+TILE_PAIRS = 2048
+SHINGLES = 400_000
 
 
 def fingerprint(raw: bytes | None, words: int = 4) -> int:
@@ -137,11 +140,9 @@ class _Forest:
         return self._roots(np.arange(len(self.up)))
 
 
-def shard_links(values: np.ndarray, mask: int, block_radius: int, radius: int, pairs: bool = False, cell: int = CELL_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of one shard: (member, root of its component in the shard), or with ``pairs``
-    as many links whose ends are within the radius of each other."""
-    values = np.unique(values)
-    forest, rng = _Forest(len(values)), np.random.default_rng(len(values))
+def _compared(values: np.ndarray, mask: int, block_radius: int, cell: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(members a, members b, distances between them), which together have all pairs a < b within the block radius."""
+    rng = np.random.default_rng(len(values))
     todo = [np.arange(len(values))]
     while todo:
         own = todo.pop()
@@ -156,11 +157,19 @@ def shard_links(values: np.ndarray, mask: int, block_radius: int, radius: int, p
         # what the block metric cannot part is compared in strips, so memory stays in bounds
         strip = max(1, 4_000_000 // max(1, len(own)))
         for at in range(0, len(own), strip):
-            head = values[own[at : at + strip]]
-            apart = np.bitwise_count(head[:, None] ^ values[own[at:]][None, :])
-            for limit in (radius // 3, 2 * radius // 3, radius) if pairs else (radius,):  # near pairs first
-                a, b = np.nonzero(apart <= limit)
-                forest.link(own[at + a[a < b]], own[at + b[a < b]])
+            head = own[at : at + strip]
+            yield head, own[at:], np.bitwise_count(values[head][:, None] ^ values[own[at:]][None, :])
+
+
+def shard_links(values: np.ndarray, mask: int, block_radius: int, radius: int, pairs: bool = False, cell: int = CELL_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of one shard: (member, root of its component in the shard), or with ``pairs``
+    as many links whose ends are within the radius of each other."""
+    values = np.unique(values)
+    forest = _Forest(len(values))
+    for head, own, apart in _compared(values, mask, block_radius, cell):
+        for limit in (radius // 3, 2 * radius // 3, radius) if pairs else (radius,):  # near pairs first
+            a, b = np.nonzero(apart <= limit)
+            forest.link(head[a[a < b]], own[b[a < b]])
     if pairs:
         a, b = (np.concatenate([x[i] for x in forest.joined] or [np.zeros(0, dtype=np.int64)]) for i in (0, 1))
         return values[np.maximum(a, b)], values[np.minimum(a, b)]
@@ -169,12 +178,26 @@ def shard_links(values: np.ndarray, mask: int, block_radius: int, radius: int, p
     return values[moved], values[roots[moved]]
 
 
-def hamming_links(distinct: DataFrame, n: int, radius: int = 4, blocks: int = 3, pairs: bool = False, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(u, v): links that connect exactly the distinct ``fingerprint`` values that pairs within
-    ``radius`` bits connect.  ``n``: their number, which sets the depth of the trees.  With
-    ``pairs`` the ends of each link are such a pair."""
+def shard_pairs(
+    values: np.ndarray, roots: np.ndarray, masks: list[int], block: int, block_radius: int, radius: int, cell: int = CELL_ROWS
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of one shard of ``block`` within the radius whose ``roots`` differ, the larger value first.
+    A pair comes only from the first block whose radius it keeps; overlapping cells may repeat it."""
+    values, first = np.unique(values, return_index=True)
+    roots = roots[first]
+    for head, own, apart in _compared(values, masks[block], block_radius, cell):
+        a, b = np.nonzero(apart <= radius)
+        a, b = head[a[a < b]], own[b[a < b]]
+        fresh = (roots[a] != roots[b]) & (_distance(values[a], values[b], masks[block]) <= block_radius)
+        for earlier in masks[:block]:
+            fresh &= _distance(values[a], values[b], earlier) > block_radius
+        a, b = a[fresh], b[fresh]
+        yield values[np.maximum(a, b)], values[np.minimum(a, b)]
+
+
+def _dealt(distinct: DataFrame, n: int, masks: list[int], near: int, shard_rows: int) -> DataFrame:
+    """(shard, fingerprint, root) for each leaf of each block's tree that a fingerprint belongs to."""
     depth = max(0, min(18, math.ceil(math.log2(max(1, n) / shard_rows))))
-    masks, near = block_masks(blocks), radius // blocks
     sample = np.array(
         [r[0] for r in distinct.select("fingerprint").orderBy(F.xxhash64("fingerprint")).limit(SAMPLE).collect()],
         dtype=np.int64,
@@ -183,20 +206,44 @@ def hamming_links(distinct: DataFrame, n: int, radius: int = 4, blocks: int = 3,
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            values = b["fingerprint"].to_numpy(np.int64).view(np.uint64)
+            values, roots = b["fingerprint"].to_numpy(np.int64).view(np.uint64), b["root"].to_numpy(np.int64)
             for i, m in enumerate(masks):
                 row, leaf = deal(values, *trees[i], m, near, depth)
-                yield pd.DataFrame({"shard": (leaf << 4) | i, "fingerprint": values[row].view(np.int64)})
+                yield pd.DataFrame({"shard": (leaf << 4) | i, "fingerprint": values[row].view(np.int64), "root": roots[row]})
+
+    return distinct.select("fingerprint", "root").mapInPandas(assign, "shard long, fingerprint long, root long")
+
+
+def hamming_links(distinct: DataFrame, n: int, radius: int = 4, blocks: int = 3, pairs: bool = False, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(u, v): links that connect exactly the distinct ``fingerprint`` values that pairs within
+    ``radius`` bits connect.  ``n``: their number, which sets the depth of the trees.  With
+    ``pairs`` the ends of each link are such a pair."""
+    masks, near = block_masks(blocks), radius // blocks
 
     def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         values = b["fingerprint"].to_numpy(np.int64).view(np.uint64)
         a, root = shard_links(values, masks[int(key[0]) & 15], near, radius, pairs)
         return pd.DataFrame({"u": a.view(np.int64), "v": root.view(np.int64)})
 
-    dealt = distinct.select("fingerprint").mapInPandas(assign, "shard long, fingerprint long")
+    dealt = _dealt(distinct.withColumn("root", F.col("fingerprint")), n, masks, near, shard_rows).drop("root")
     return dealt.groupBy("shard").applyInPandas(search, "u long, v long")
 
 
+def hamming_pairs(rooted: DataFrame, n: int, radius: int, blocks: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(u, v, shard): all pairs within ``radius`` bits of distinct ``fingerprint`` values that have not
+    the same ``root``, each once, with a shard that they share."""
+    masks, near = block_masks(blocks), radius // blocks
+
+    def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        values, roots = b["fingerprint"].to_numpy(np.int64).view(np.uint64), b["root"].to_numpy(np.int64)
+        found = list(shard_pairs(values, roots, masks, int(key[0]) & 15, near, radius))
+        u, v = (np.concatenate([x[i] for x in found] or [values[:0]]).view(np.int64) for i in (0, 1))
+        return pd.DataFrame({"u": u, "v": v, "shard": int(key[0])}).drop_duplicates()
+
+    found = _dealt(rooted, n, masks, near, shard_rows).groupBy("shard").applyInPandas(search, "u long, v long, shard long")
+    return found.groupBy("u", "v").agg(F.min("shard").alias("shard"))
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -224,15 +271,49 @@ def near_duplicates(
     return rows.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id", "n_same")
 
 
+def _shingles(raw: bytes, words: int) -> set[bytes]:
+    parts = raw.lower().split()
+    return {b" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))}
+
+
 def shingle_jaccard(a: bytes, b: bytes, words: int) -> float:
     """Jaccard similarity of the sets of word shingles of two texts, ASCII letters lower-cased."""
+    p, q = _shingles(a, words), _shingles(b, words)
+    return len(p & q) / len(p | q)
 
-    def shingles(raw: bytes) -> set[bytes]:
-        parts = raw.lower().split()
-        return {b" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))}
 
-    p, q = shingles(a), shingles(b)
-    return len(p & q) / len(p | q)
+def tiled_alike(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(u, v) of the ``pairs`` (u, v, shard) whose texts (fingerprint, raw) are at least so similar.
+
+    The pairs of a shard are cut into tiles by a hash of each end, so a text goes once to each tile
+    that needs it and not once to each pair.
+    """
+    sides = pairs.groupBy("shard").agg(F.ceil(F.sqrt(F.count("*") / TILE_PAIRS)).alias("sides"))
+    tiles = pairs.join(sides, "shard").select(
+        "shard", "u", "v", *(F.pmod(F.xxhash64(x), "sides").alias(f"tile_{x}") for x in ("u", "v"))
+    )
+    at = ["shard", "tile_u", "tile_v"]
+    ends = tiles.select(*at, F.col("u").alias("fingerprint")).union(tiles.select(*at, "v")).distinct()
+
+    def compare(p: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        raw, known, held, good = dict(zip(t["fingerprint"], t["raw"])), {}, 0, []
+        for u, v in zip(p["u"], p["v"]):
+            if held > SHINGLES:
+                known, held = {}, 0
+            for x in (u, v):
+                if x not in known:
+                    known[x] = _shingles(raw[x], words)
+                    held += len(known[x])
+            a, b = known[u], known[v]
+            both = len(a & b)
+            good.append(both / (len(a) + len(b) - both) >= similarity)
+        return p.loc[np.array(good, dtype=bool), ["u", "v"]]
+
+    # the rows are few bytes for their work, so their partitions must not be put together
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = ["of_shard", "of_u", "of_v"]
+    needed = ends.toDF(*own, "fingerprint").join(texts, "fingerprint").repartition(parts, *own)
+    return tiles.repartition(parts, *at).groupBy(*at).cogroup(needed.groupBy(*own)).applyInPandas(compare, "u long, v long")
 
 
 def keep_one_of_near_duplicates(
@@ -242,8 +323,10 @@ def keep_one_of_near_duplicates(
 
     A similarity of 0.8 over word shingles makes SimHashes differ in about 10 bits.  Pairs within
     ``radius`` bits found by the vantage-point trees are compared on their texts, and only those of at
-    least ``similarity`` count as links; equal fingerprints are links as they are.  Null ids
-    come last; of rows with one id one stays.  All columns stay as they are.
+    least ``similarity`` count as links; equal fingerprints are links as they are.  First a spanning
+    forest of the pairs is compared, then every other pair whose ends the links found have not
+    joined: the groups are those of all pairs.  Null
+    ids come last; of rows with one id one stays.  All columns stay as they are.
     """
     scratch = Scratch(docs.sparkSession, "near_duplicates")
 
@@ -262,14 +345,28 @@ def keep_one_of_near_duplicates(
     groups = scratch.save(
         base.groupBy(F.col("_fp").alias("fingerprint")).agg(F.min(order).alias("first"), F.count("*").alias("n")), "groups"
     )
-    pairs = scratch.save(hamming_links(groups, groups.count(), radius, blocks, pairs=True).distinct(), "pairs")
-    ends = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "fingerprint")
-    rows = groups.join(ends, "fingerprint").select("fingerprint", F.col("first.row").alias("_row"))
-    texts = scratch.save(base.select("_row", text.alias("raw")).join(rows, "_row").select("fingerprint", "raw"), "texts")
-    a = texts.select(F.col("fingerprint").alias("u"), F.col("raw").alias("a"))
-    b = texts.select(F.col("fingerprint").alias("v"), F.col("raw").alias("b"))
-    alike = pairs.join(a, "u").join(b, "v").where(jaccard("a", "b") >= similarity).select("u", "v")
-    roots = connected_components(alike, scratch).select(F.col("node").alias("fingerprint"), "root")
+    n = groups.count()
+
+    def texts_of(pairs: DataFrame, name: str) -> DataFrame:
+        ends = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "fingerprint")
+        rows = groups.join(ends, "fingerprint").select("fingerprint", F.col("first.row").alias("_row"))
+        return scratch.save(base.select("_row", text.alias("raw")).join(rows, "_row").select("fingerprint", "raw"), name)
+
+    def alike(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+        a = texts.select(F.col("fingerprint").alias("u"), F.col("raw").alias("a"))
+        b = texts.select(F.col("fingerprint").alias("v"), F.col("raw").alias("b"))
+        return scratch.save(pairs.join(a, "u").join(b, "v").where(jaccard("a", "b") >= similarity).select("u", "v"), name)
+
+    def joined(links: DataFrame, name: str) -> DataFrame:
+        return connected_components(links, Scratch(docs.sparkSession, name)).select(F.col("node").alias("fingerprint"), "root")
+
+    pairs = scratch.save(hamming_links(groups, n, radius, blocks, pairs=True).distinct(), "pairs")
+    roots = joined(alike(pairs, texts_of(pairs, "texts"), "alike"), "near_duplicates_0")
+    rooted = groups.select("fingerprint").join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    rest = scratch.save(hamming_pairs(rooted, n, radius, blocks).join(pairs, ["u", "v"], "left_anti"), "rest")
+    scratch.drop("texts")
+    found = scratch.save(tiled_alike(rest, texts_of(rest, "rest_texts"), words, similarity), "found")
+    roots = joined(found.union(roots), "near_duplicates_1")
     rooted = groups.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1")
     several = rooted.join(firsts.select("root", "kept"), "root").select(F.col("fingerprint").alias("_fp"), F.col("kept.row").alias("kept"))

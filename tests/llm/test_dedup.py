@@ -88,6 +88,53 @@ def test_keep_one(spark):
     assert sh.keep_one_of_near_duplicates(rows).columns == rows.columns
 
 
+def test_keep_one_against_all_pairs(spark):
+    rng = random.Random(4)
+    texts = []
+    for g in range(12):  # groups of texts that share most of their words, so many pairs within the radius fail
+        base = [f"g{g}w{rng.randint(0, 999)}" for _ in range(150)]
+        for _ in range(25):
+            parts = list(base)
+            for _ in range(rng.randint(1, 9)):
+                parts[rng.randrange(len(parts))] = f"x{rng.randint(0, 99999)}"
+            texts.append(" ".join(parts))
+    fps = [sh.fingerprint(t.encode(), 5) for t in texts]
+    label = list(range(len(texts)))
+    near = failed = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 11:
+                near += 1
+                if fps[i] == fps[j] or sh.shingle_jaccard(texts[i].encode(), texts[j].encode(), 5) >= 0.8:
+                    p, q = sorted((label[i], label[j]))
+                    label = [p if x == q else x for x in label]
+                else:
+                    failed += 1
+    assert failed > 100 and near - failed > 100
+    kept = sorted(r["doc_id"] for r in sh.keep_one_of_near_duplicates(table(spark, texts)).collect())
+    assert kept == sorted(set(label))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.integers(0, 10**6))
+def test_shard_pairs_are_all_pairs(seed):
+    rng = np.random.default_rng(seed)
+    values = rng.integers(0, 1 << 63, 8, dtype=np.uint64)
+    flips = [values[i % 8] ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 7).astype(np.uint64)) for i in range(80)]
+    values = np.unique(np.concatenate([values, np.array(flips, dtype=np.uint64)]))
+    roots = rng.integers(0, 12, len(values))
+    masks, met = sh.block_masks(6), set()
+    for i, mask in enumerate(masks):
+        tree = sh.fit_tree(values[:40], mask, 2, 5)
+        row, leaf = sh.deal(values, *tree, mask, 1, 2)
+        for x in np.unique(leaf):
+            own = row[leaf == x]
+            for a, b in sh.shard_pairs(values[own], roots[own], masks, i, 1, 11, cell=8):
+                met |= {(int(p), int(q)) for p, q in zip(a, b)}
+    want = {(int(a), int(b)) for a, p in zip(values, roots) for b, q in zip(values, roots) if a > b and p != q and int(a ^ b).bit_count() <= 11}
+    assert met == want
+
+
 def brute(texts, window):
     words = [(t or "").encode().split() for t in texts]
     seen = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
