@@ -3,29 +3,33 @@
 A bounded sample gets a neighbour graph, which is cut into balanced partitions with few
 edges between them.  A small network learns to tell a vector's partition; it deals every row to its
 most probable partition and routes a query to its several most probable ones, whose rows are
-reranked exactly.  How many partitions a query visits is the least number that reaches
-``RECALL`` on queries of the sample held out from the graph.
+reranked exactly.  There are about as many partitions as the square root of the rows (``SAMPLE`` / 16
+at most), and a query visits the least number of them that reaches ``RECALL`` on vectors of the sample
+held out from the graph.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
-from .vectors import best, blocks_for, distinct_vectors, expanded, stacked, usable
+from .vectors import Answers, asking, best, block_of, blocks_for, distinct_vectors, each_of, own_places, stacked, usable
 
-SAMPLE = 4096
-HELD_OUT = 512
-PARTITIONS = 16
+SAMPLE = 8192
+HELD_OUT = 1024
 NEIGHBOURS = 12
 HIDDEN = 96
-RECALL = 0.96
+RECALL = 0.93
 BLOCK = 8192
 QUERY_BLOCK = 2048
-SLACK = 8
+BATCH = 256
+IDS = "array<struct<id:long,n:int>>"
 
 
 def neighbour_graph(x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
@@ -95,7 +99,7 @@ class Router:
         x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
         return np.maximum(x @ self.w[0] * 4 + self.w[1], 0) @ self.w[2] + self.w[3]
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 600, batch: int = 256, rate: float = 0.01) -> None:
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 800, batch: int = 256, rate: float = 0.01) -> None:
         x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
         rng = np.random.default_rng(17)
         m, v = [np.zeros_like(w) for w in self.w], [np.zeros_like(w) for w in self.w]
@@ -115,75 +119,98 @@ class Router:
                 self.w[j] -= rate * (1 - t / steps) * (m[j] / (1 - 0.9**t)) / (np.sqrt(v[j] / (1 - 0.999**t)) + 1e-8)
 
 
-def fit_index(sample: np.ndarray, k: int, parts: int = PARTITIONS, recall: float = RECALL) -> tuple[Router, int]:
-    """The router, and how many partitions a query visits."""
-    held = sample[: min(HELD_OUT, len(sample) // 4)]
+def partitions_for(n: int) -> int:
+    """The power of two next above the square root of ``n``, bounded by what the sample can tell apart."""
+    return min(SAMPLE // 16, 1 << max(0, math.ceil(math.log2(max(1, n)) / 2)))
+
+
+def fit_index(sample: np.ndarray, n: int, k: int, recall: float = RECALL) -> tuple[Router, int]:
+    """The router for ``n`` vectors, and how many partitions a query visits.
+
+    ``k`` of n vectors are as near to a query as its best ``k`` * m / n of m, so the held-out vectors
+    look for as many (one at least) among the rest of the sample.
+    """
+    parts = partitions_for(n)
+    held = sample[: min(HELD_OUT, math.ceil(len(sample) / 4))]
     rest = sample[len(held) :]
     router = Router(sample.shape[1], parts)
-    if len(rest) < 2 * parts or not len(held):
+    if not len(rest):
         return router, parts
     router.fit(rest, balanced_partitions(neighbour_graph(rest), parts))
     home = router.logits(rest).argmax(axis=1)
-    k = min(k, len(rest))
+    k = min(len(rest), max(1, round(k * len(rest) / n)))
     near = np.argpartition(-(held @ rest.T), k - 1, axis=1)[:, :k]
     visited = np.argsort(-router.logits(held), axis=1)
     place = np.argsort(visited, axis=1)  # of each partition in the order of visits
     reached = np.sort(np.take_along_axis(place, home[near], axis=1).ravel())
-    return router, int(reached[min(len(reached) - 1, int(np.ceil(recall * len(reached))))]) + 1
+    return router, int(reached[min(len(reached) - 1, math.ceil(recall * len(reached)))]) + 1
+
+
+def fitted(column: pd.Series, dims: int) -> np.ndarray:
+    """The vectors of a column cut or filled with zeros to ``dims``, as the router takes them."""
+    out = np.zeros((len(column), dims))
+    for i, v in enumerate(column):
+        out[i, : len(v)] = v[:dims]
+    return out
+
+
+def reranked(x: np.ndarray, q: np.ndarray, k: int, out: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, places, scores) with all candidates that can be among the ``k`` best of each query; a
+    matrix product may be off in its last bits, so all within that error of the k-th are scored anew."""
+    s = q @ x.T
+    s[out] = -np.inf
+    kth = np.partition(s, len(x) - k, axis=1)[:, len(x) - k] if len(x) > k else np.full(len(q), -np.inf)
+    error = 4 * x.shape[1] * np.finfo(float).eps * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+    for i, v in enumerate(q):
+        places = np.flatnonzero((s[i] >= kth[i] - error[i]) & (s[i] > -np.inf))
+        yield i, places, (x[places] * v).sum(axis=1)
 
 
-def search(rows: DataFrame, every: int, k: int, parts: int = PARTITIONS) -> DataFrame:
+def search(rows: DataFrame, every: int, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) of usable ``rows`` (vec_id, v)."""
     scratch = Scratch(rows.sparkSession, "ann")
-    held = scratch.save(distinct_vectors(rows, k + 1), "vectors")
-    asked = scratch.save(rows.where(F.col("vec_id") % every == 0), "queries")
+    held = scratch.save(distinct_vectors(rows, k), "vectors")
+    asked = scratch.save(asking(rows, every), "queries")
     n, m = held.count(), asked.count()
-    found = held.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()
-    if not found:
+    found = held.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toPandas()["v"]
+    if not n:
         return best(rows.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score")).limit(0), k)
-    router, visits = fit_index(np.array([r[0] for r in found], dtype=np.float64), k, parts)
+    dims = max(map(len, found))
+    router, visits = fit_index(fitted(found, dims), n, k)
+    parts = partitions_for(n)
     blocks, askers = blocks_for(2 * n, BLOCK * parts), blocks_for(m * visits, QUERY_BLOCK * parts)
 
-    def dealt(batches):
+    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                b["part"] = router.logits(stacked(b["v"])).argmax(axis=1)
+                b["part"] = router.logits(fitted(b["v"], dims)).argmax(axis=1)
                 yield b
 
-    def routed(batches):
+    def routed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                at = np.argsort(-router.logits(stacked(b["v"])), axis=1, kind="stable")[:, :visits]
+                at = np.argsort(-router.logits(fitted(b["v"], dims)), axis=1, kind="stable")[:, :visits]
                 b = b.loc[b.index.repeat(visits)]
                 b["part"] = at.ravel()
                 yield b
 
-    def cell(own: str, n_own: int, other: str, n_other: int):
-        return [
-            F.pmod(F.xxhash64("v"), F.lit(n_own)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
-        ]
+    def cells(rows: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        return rows.select("*", F.size("v").alias("dims"), block_of("v", n_own).alias(own), each_of(n_other).alias(other))
 
-    left = held.mapInPandas(dealt, "v array<double>, ids array<long>, part int").select("*", *cell("block", blocks, "asker", askers))
-    right = asked.mapInPandas(routed, "vec_id long, v array<double>, part int").select("*", *cell("asker", askers, "block", blocks))
+    left = cells(held.mapInPandas(dealt, f"v array<double>, ids {IDS}, part int"), "block", blocks, "asker", askers)
+    right = cells(asked.mapInPandas(routed, "vec_id long, v array<double>, part int"), "asker", askers, "block", blocks)
 
     def rerank(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out: tuple[list, list, list] = ([], [], [])
+        out = Answers(k)
         if len(a) and len(b):
-            x, q, ids = stacked(a["v"]), stacked(b["v"]), a["ids"].tolist()
-            take = min(len(x), k + 1 + SLACK)  # a little more than asked: matrix products may be off in the last bit
-            for at in range(0, len(q), 256):
-                s = q[at : at + 256] @ x.T
-                top = np.argpartition(-s, take - 1, axis=1)[:, :take]
-                for query_id, v, own in zip(b["vec_id"].iloc[at : at + 256], q[at : at + 256], top):
-                    exact = (x[own] * v).sum(axis=1)
-                    for column, more in zip(out, expanded(int(query_id), exact, [ids[i] for i in own], k)):
-                        column += more
-        made = pd.DataFrame({"query_id": out[0], "vec_id": out[1]}, dtype="int64")
-        made["score"] = np.array(out[2], dtype=np.float64)
-        return made
-
-    keys = ["part", "block", "asker"]
+            x, ids, own = stacked(a["v"]), a["ids"].tolist(), b["vec_id"].to_numpy(np.int64)
+            for i in range(0, len(b), BATCH):
+                mine = own[i : i + BATCH]
+                for q, places, scores in reranked(x, stacked(b["v"].iloc[i : i + BATCH]), k, own_places(ids, mine)):
+                    out.add(int(mine[q]), scores, [ids[p] for p in places])
+        return out.frame("float64")
+
+    keys = ["dims", "part", "block", "asker"]
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(rerank, "query_id long, vec_id long, score double")
     return best(met, k)
 
@@ -192,10 +219,10 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
     """The ``k`` nearest other rows found for each row whose id is divisible by ``every``.
 
     Nearness is the inner product in double precision.  Null ids, null, empty and zero vectors and
-    vectors with null or non-finite components take no part; of rows with one id the smallest vector
-    counts; vectors must be of one length.  Equal vectors share a partition, and all of them are found
-    or none.  With few rows every partition is visited and the result is exact; an empty table
-    gives an empty result.
+    vectors with null or non-finite components take no part.  All rows with one id are candidates
+    of other ids; an id that asks with several vectors gets the best of all of them, and equal
+    rows ask once.  Vectors of different lengths do not meet.  Equal vectors share a partition, and
+    all of them are found or none.  An empty table gives an empty result; other columns are not read.
     """
     return search(usable(rows, id_col, vec_col), every, k)
 

@@ -111,15 +111,36 @@ def test_exact_topk(spark):
     assert topk.top_inner_products(rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("search", [topk.top_inner_products, ann.nearest])
+def test_repeated_ids_and_other_lengths(spark, search):
+    rows = [(0, [1.0, 1.0])] * 3 + [(0, [2.0, 0.5]), (1, [1.0, 1.0]), (1, [5.0, 5.0]), (1, [5.0, 5.0]), (2, [1.0]), (3, [1.0, 2.0, 3.0]), (100, [3.0])]
+    made = spark.createDataFrame([(i, v, -1) for i, v in rows], "vec_id long, embedding array<double>, score int")
+    got = sorted(tuple(r) for r in search(made, 100, 3).collect())
+    scale = 256 * 256 if search is topk.top_inner_products else 1
+    assert got == [(0, 1, 1, 12.5 * scale), (0, 2, 1, 12.5 * scale), (0, 3, 1, 10.0 * scale), (100, 1, 2, 3.0 * scale)]
+
+
 def test_sorted_lists_are_exact():
     rng = np.random.default_rng(7)
-    for _ in range(200):
-        x, k = rng.integers(-3, 4, (rng.integers(1, 60), rng.integers(1, 5))), 4
-        q = rng.integers(-2, 3, x.shape[1])
-        places, scores = topk.SortedLists(x).top(q, k)
-        assert sorted(scores)[::-1][:k] == sorted(x @ q)[::-1][:k]
-        kth = sorted(x @ q)[::-1][: min(k, len(x))][-1]
-        assert set(np.flatnonzero(x @ q >= kth)) <= set(places.tolist())
+    for scale in (1, 1 << 20, 1 << 27):
+        for _ in range(100):
+            x, k = scale * rng.integers(-3, 4, (rng.integers(1, 60), rng.integers(1, 5))), int(rng.integers(1, 6))
+            queries, lists = rng.integers(-2, 3, (5, x.shape[1])) * scale, topk.SortedLists(x)
+            out = np.array([0, 2]), np.array([0, len(x) - 1])
+            found = {q: (p, s) for q, p, s in lists.top(queries, np.full(5, -topk.NONE), k, out)}
+            for q, (places, scores) in found.items():
+                mine = np.setdiff1d(np.arange(len(x)), out[1][out[0] == q])
+                want = sorted((x @ queries[q])[mine])[::-1][:k]
+                assert sorted(scores)[::-1][:k] == want
+                assert not want or set(mine[(x @ queries[q])[mine] >= want[-1]]) <= set(places.tolist())
+            assert len(found) == 5 and lists.read <= lists.asked
+
+
+def test_lists_are_left_early():
+    rng = np.random.default_rng(8)
+    x = (256 * rng.standard_normal((4096, 4)) * [20, 5, 2, 1]).astype(np.int64)
+    lists = topk.SortedLists(x)
+    assert len(list(lists.top(x[::64], np.full(64, -topk.NONE), 5))) == 64 and lists.read < 0.3 * lists.asked
 
 
 def test_learned_partitions(spark):
@@ -138,6 +159,16 @@ def test_learned_partitions(spark):
     assert ann.nearest(rows.limit(0)).count() == 0
 
 
+def test_partitions_visited():
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((4000, 6)) + 3 * rng.standard_normal((40, 6)).repeat(100, axis=0)
+    x = x[rng.permutation(len(x))]
+    router, visits = ann.fit_index(x, len(x), 20)
+    home = np.bincount(router.logits(x).argmax(axis=1), minlength=ann.partitions_for(len(x)))
+    visited = np.argsort(-router.logits(x[::20]), axis=1)[:, :visits]
+    assert ann.partitions_for(4000) == 64 and home[visited].sum(axis=1).mean() < 0.5 * len(x)
+
+
 def test_balanced_cut():
     rng = np.random.default_rng(8)
     x = np.concatenate([rng.standard_normal((100, 6)) + 4 * c for c in np.eye(6)[:4]])
