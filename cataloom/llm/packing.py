@@ -19,7 +19,7 @@ from .scratch import Scratch
 
 CAPACITY = 2048
 SHARD_PIECES = 32_768
-CACHE = 400_000
+CACHE = 600_000
 SEPARATOR = "\ue000"
 _NEVER = np.int64(1) << 60
 
@@ -29,7 +29,8 @@ class WordIds:
 
     Such a tokenizer gives a run the same ids alone as inside a text, so each distinct run is
     encoded once: new runs are sent in lines, parted by a private-use character that is a token
-    sequence of its own.  The tables start anew after ``CACHE`` runs, so memory stays bounded.
+    sequence of its own.  The tables hold ``CACHE`` runs at most (or those of one slice); when they are
+    full, runs that were met only once are forgotten.
     """
 
     def __init__(self, path: str):
@@ -45,13 +46,25 @@ class WordIds:
         self.at: dict[str, int] = {}
         self.pool, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
         self.first, self.length = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
+        self.again = np.zeros(1 << 14, dtype=bool)
+
+    def _forget(self) -> None:
+        """Drops runs met only once, or all where too few would go."""
+        runs, n = list(self.at), len(self.at)
+        kept = np.flatnonzero(self.again[:n])
+        first, length, pool = self.first[kept], self.length[kept], self.pool
+        self._reset()
+        if len(kept) <= CACHE // 2:
+            ends = np.cumsum(length)
+            flat = pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - length), length)]
+            self._store([runs[i] for i in kept.tolist()], flat, length)
 
     def _store(self, runs: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         n = len(self.at)
         while n + len(runs) > len(self.first):
-            self.first, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.length))
+            self.first, self.length, self.again = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.length, self.again))
         self.pool[self.used : self.used + len(flat)] = flat
         self.first[n : n + len(runs)] = self.used + np.cumsum(lengths) - lengths
         self.length[n : n + len(runs)] = lengths
@@ -91,12 +104,16 @@ class WordIds:
         """(ids, counts): the ids of all texts end to end, and how many each has."""
         distinct, codes, words = split_words(texts)
         runs = distinct.to_pylist()
-        if len(self.at) + len(runs) > CACHE:
-            self._reset()
         new = [r for r in runs if r not in self.at]
+        if len(self.at) + len(new) > CACHE:
+            self._forget()
+            new = [r for r in runs if r not in self.at]
+        held = len(self.at)
         if new:
             self._learn(new)
-        row = np.fromiter(map(self.at.__getitem__, runs), dtype=np.int64, count=len(runs))[codes]
+        at = np.fromiter(map(self.at.__getitem__, runs), dtype=np.int64, count=len(runs))
+        self.again[at[at < held]] = True
+        row = at[codes]
         lengths, first = self.length[row], self.first[row]
         ends = np.cumsum(lengths)
         flat = self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - lengths), lengths)]
@@ -212,23 +229,23 @@ def pack(sizes: np.ndarray, capacity: int = CAPACITY, seed: int = 3) -> np.ndarr
 
 
 def sequences(made: DataFrame, n_pieces: int, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``made`` (see ``pieces``) with sequence_id and offset.
+    """``made`` (see ``pieces``, and a number ``row`` of its own each) with sequence_id and offset.
 
-    Pieces are dealt by a hash to shards of about ``shard_pieces``, packed each in one task (one row
-    of a few numbers a piece, so a shard is small); what a shard leaves open is a few bins.  A
-    sequence's number is its shard's times 2**32 plus its number there.
+    Pieces are dealt by a hash of their row numbers to shards of about ``shard_pieces``, copies too,
+    packed each in one task (one row of a few numbers a piece, so a shard is small); what a shard
+    leaves open is a few bins.  A sequence's number is its shard's times 2**32 plus its number there.
     """
     shards = max(1, round(n_pieces / shard_pieces))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values(["doc_id", "piece", "ids_crc32", "length"], kind="stable", na_position="first").reset_index(drop=True)
+        b = b.sort_values("row").reset_index(drop=True)
         b["sequence_id"] = pack(b["length"].to_numpy(), capacity)
         b["offset"] = b.groupby("sequence_id")["length"].cumsum() - b["length"]
         b["sequence_id"] += int(key[0]) << 32
         return b[[*columns, "sequence_id", "offset"]]
 
-    dealt = made.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    dealt = made.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
     return dealt.groupBy("shard").applyInPandas(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )
@@ -244,7 +261,9 @@ def pack_documents(
     machine.
     """
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    made = Scratch(docs.sparkSession, "packing").save(pieces(docs, path, capacity, 0, id_col, text_col), "pieces")
+    made = Scratch(docs.sparkSession, "packing").save(
+        pieces(docs, path, capacity, 0, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pieces"
+    )
     return sequences(made, made.count(), capacity)
 
 
