@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,15 +13,32 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; only where it is unset (tests), a folder of our own."""
+    """The session's checkpoint folder; where it is unset, a folder of our own in local mode (tests, one
+    machine), and an error on a cluster, whose executors would not see it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     if "dir" not in _OWN:
         _OWN["dir"] = tempfile.mkdtemp(prefix="cataloom-")
+        atexit.register(shutil.rmtree, _OWN["dir"], True)
     return "file://" + _OWN["dir"]
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that is none of ``taken``, whatever the case."""
+    held = {c.lower() for c in taken}
+    while name in held:
+        name += "_"
+    return name
+
+
+def columns(df: DataFrame) -> list[str]:
+    """The column names of ``df``, quoted."""
+    return ["`" + c.replace("`", "``") + "`" for c in df.columns]
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     target = hadoop.Path(path)

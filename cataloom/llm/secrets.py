@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import columns, fresh
+
 #: Kinds in their order, and their patterns.
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -92,30 +94,36 @@ def _c_log_c(c: Column) -> Column:
 
 
 def most_entropy(chars: Column, window: int) -> Column:
-    """The largest Shannon entropy, in bits, of ``window`` neighbouring characters.
+    """The largest Shannon entropy, in bits, of ``window`` neighbouring characters (null where fewer).
 
-    H = log2(w) - S / w with S the sum of c log2 c over the counts c.  Moving on by one character
-    changes two counts, so S is carried along and only those two terms are replaced.
+    H = log2(w) - S / w with S the sum of c log2 c over the counts c.  The counts are carried along, one
+    for each of the 128 ASCII characters (candidate strings have no others); moving on by one character
+    changes two of them, and S by their terms only.
     """
     w = F.lit(window)
 
-    def count(of: Column, x: Column) -> Column:
-        return F.size(F.filter(of, lambda y: y == x))
+    def move(counts: Column, s: Column, x: Column, by: int) -> Column:
+        """(counts, s) with one more or less of the character number x."""
+        c = F.element_at(counts, x)
+        changed = F.concat(F.slice(counts, F.lit(1), x - 1), F.array(c + by), F.slice(counts, x + 1, F.lit(128) - x))
+        return F.struct(changed.alias("counts"), (s - _c_log_c(c) + _c_log_c(c + by)).alias("s"))
 
-    first = F.slice(chars, F.lit(1), w)
-    start = F.aggregate(
-        F.array_distinct(first), F.lit(0.0), lambda a, x: a + _c_log_c(count(first, x))
-    )
+    def enter(state: Column, x: Column) -> Column:
+        return move(state["counts"], state["s"], x, 1)
+
+    codes = F.transform(chars, lambda x: F.ascii(x) + 1)
+    zero = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("s"))
+    first = F.aggregate(F.slice(codes, F.lit(1), w), zero, enter)
+    # a step for each further place: what leaves and what enters
+    n = F.greatest(F.size(codes) - w, F.lit(0))
+    moves = F.zip_with(F.slice(codes, F.lit(1), n), F.slice(codes, w + 1, n), lambda out, new: F.struct(out.alias("out"), new.alias("new")))
 
-    def step(state: Column, i: Column) -> Column:
-        own, out, new = F.slice(chars, i, w), F.element_at(chars, i), F.element_at(chars, i + w)
-        c_out = count(own, out)
-        c_new = count(own, new) - F.when(out == new, 1).otherwise(0)
-        s = state["s"] - _c_log_c(c_out) + _c_log_c(c_out - 1) - _c_log_c(c_new) + _c_log_c(c_new + 1)
-        return F.struct(s.alias("s"), F.least(state["low"], s).alias("low"))
+    def step(state: Column, m: Column) -> Column:
+        left = move(state["own"]["counts"], state["own"]["s"], m["out"], -1)
+        now = move(left["counts"], left["s"], m["new"], 1)
+        return F.struct(now.alias("own"), F.least(state["low"], now["s"]).alias("low"))
 
-    moves = F.filter(F.sequence(F.lit(1), F.greatest(F.size(chars) - w, F.lit(1))), lambda i: i <= F.size(chars) - w)
-    low = F.aggregate(moves, F.struct(start.alias("s"), start.alias("low")), step, lambda s: s["low"])
+    low = F.aggregate(moves, F.struct(first.alias("own"), first["s"].alias("low")), step, lambda s: s["low"])
     return F.when(F.size(chars) >= w, F.log2(F.lit(float(window))) - low / w)
 
 
@@ -133,30 +141,29 @@ def is_random(candidate: Column) -> Column:
     return F.when(mixed & ~allowed, reached).otherwise(F.lit(False))
 
 
-def _with_spans(docs: DataFrame, text: Column) -> DataFrame:
-    """``docs`` with _assign, _access, _hex, _entropy: arrays of (start, end)."""
+def _with_spans(docs: DataFrame, text: Column, into: str) -> DataFrame:
+    """``docs`` with a struct ``into`` of the spans of each kind, arrays of (start, end)."""
     none = F.lit([]).cast("array<struct<start:int,end:int>>")
     value_fits = F.transform(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= ASSIGN_LEAST)
     strings = F.regexp_extract_all(text, F.lit(f"({CANDIDATE})"), F.lit(1))
-    out = docs.withColumns({
-        "_assign": F.when(text.rlike(ASSIGN), match_spans(text, ASSIGN, value_fits)).otherwise(none),
-        "_access": F.when(text.rlike(ACCESS), match_spans(text, ACCESS)).otherwise(none),
-        "_hex": F.when(text.rlike(HEX), match_spans(text, HEX)).otherwise(none),
-        "_entropy": F.when(text.rlike(CANDIDATE), match_spans(text, CANDIDATE, F.transform(strings, is_random))).otherwise(none),
-    })
-    base = F.concat("_assign", "_access", "_hex")
-    return out.withColumn(
-        "_entropy",
-        F.filter("_entropy", lambda e: ~F.exists(base, lambda b: (b["start"] <= e["start"]) & (b["end"] >= e["end"]))),
-    )
-
-
-def _in_order(kinds: tuple[str, ...]) -> Column:
+    out = docs.withColumn(into, F.struct(
+        F.when(text.rlike(ASSIGN), match_spans(text, ASSIGN, value_fits)).otherwise(none).alias("assign"),
+        F.when(text.rlike(ACCESS), match_spans(text, ACCESS)).otherwise(none).alias("access"),
+        F.when(text.rlike(HEX), match_spans(text, HEX)).otherwise(none).alias("hex"),
+        F.when(text.rlike(CANDIDATE), match_spans(text, CANDIDATE, F.transform(strings, is_random))).otherwise(none).alias("entropy"),
+    ))
+    spans = F.col(into)
+    base = F.concat(*(spans[k] for k in KINDS[:3]))
+    beyond = F.filter(spans["entropy"], lambda e: ~F.exists(base, lambda b: (b["start"] <= e["start"]) & (b["end"] >= e["end"])))
+    return out.withColumn(into, spans.withField("entropy", beyond))
+
+
+def _in_order(found: Column, kinds: tuple[str, ...]) -> Column:
     """Spans of the kinds by start, then kind: structs (start, order, end)."""
 
     def placed(order: int) -> Column:
         return F.transform(
-            f"_{kinds[order]}", lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"))
+            found[kinds[order]], lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"))
         )
 
     return F.array_sort(F.concat(*map(placed, range(len(kinds)))))
@@ -175,33 +182,47 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Spans count code points, end exclusive, written kind:start:end.  ``base_sha256`` hashes those
     of the three patterns; ``spans`` has the entropy spans as well, except those inside a pattern's
     span.  Null and empty texts have none; repeated rows and null ids stay; other columns are
-    not read.
+    not read; an empty table gives an empty result.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
-    found = _with_spans(texts, F.col("_text"))
-    return found.select(
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    found = F.col("found")
+    return _with_spans(texts, F.col("text"), "found").select(
         "doc_id",
-        *(F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in KINDS),
-        F.sha2(_written(_in_order(KINDS[:3])).cast("binary"), 256).alias("base_sha256"),
-        _written(_in_order(KINDS)).alias("spans"),
+        *(F.size(found[k]).cast("long").alias(f"n_{k}") for k in KINDS),
+        F.sha2(_written(_in_order(found, KINDS[:3])).cast("binary"), 256).alias("base_sha256"),
+        _written(_in_order(found, KINDS)).alias("spans"),
     )
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each run of overlapping spans in ``text_col`` replaced by ``mark``."""
-    text = F.coalesce(text_col, F.lit(""))
-    found = _with_spans(docs, text).withColumn("_spans", _in_order(KINDS))
+    """``docs`` with each run of overlapping spans in ``text_col`` replaced by ``mark``.
 
+    Null and empty texts, texts without spans and all other columns stay as they are, whatever their
+    names; very long texts are read whole; repeated rows stay; an empty table gives an empty result.
+    """
+    own, text = fresh("own", docs.columns), F.coalesce(text_col, F.lit(""))
+    found = _with_spans(docs, text, own).withColumn(own, _in_order(F.col(own), KINDS))
+    # the kept stretches between runs of spans, joined once, so work grows with the text and its spans
     def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        more = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mark))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(fresh, more).otherwise(state["out"]).alias("out"))
+        gap = F.struct(state["at"].alias("start"), s["start"].alias("end"))
+        kept = F.when(s["start"] >= state["at"], F.concat(state["kept"], F.array(gap))).otherwise(state["kept"])
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), kept.alias("kept"))
+
+    groups = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(own) - 1) / F.lit(GROUP)).cast("int")), lambda i: F.slice(F.col(own), i * GROUP + 1, F.lit(GROUP))
+    )
+    none = F.lit([]).cast("array<struct<start:int,end:int>>")
+
+    def over(state: Column, g: Column) -> Column:
+        done = F.aggregate(g, F.struct(state["at"].alias("at"), none.alias("kept")), step)
+        return F.struct(done["at"].alias("at"), F.concat(state["kept"], F.array(done["kept"])).alias("kept"))
 
-    rest = F.aggregate(
-        "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
+    start = F.struct(F.lit(0).alias("at"), F.lit([]).cast("array<array<struct<start:int,end:int>>>").alias("kept"))
+    stretches = F.aggregate(
+        groups, start, over, lambda s: F.concat(F.flatten(s["kept"]), F.array(F.struct(s["at"].alias("start"), F.length(text).alias("end"))))
     )
-    return found.withColumn(text_col, F.when(F.size("_spans") > 0, rest).otherwise(F.col(text_col))).select(*docs.columns)
+    clean = F.array_join(F.transform(stretches, lambda k: F.substring(text, k["start"] + 1, k["end"] - k["start"])), mark)
+    return found.withColumn(text_col, F.when(F.size(own) > 0, clean).otherwise(F.col(text_col))).select(*columns(docs))
 
 
 def op5_secret_scans(spark, sf_dir: str) -> DataFrame:
