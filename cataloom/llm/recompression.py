@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .resident import resident
-from .scratch import Scratch
+from .scratch import Scratch, columns, fresh
 
 WINDOW = 35
 LEVELS = 3
@@ -347,14 +347,20 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with the repeated words cut out of ``text_col``; other texts and columns unchanged."""
+    """``docs`` with the repeated words cut out of ``text_col``; other texts and columns unchanged,
+    whatever their names.
+
+    Null texts and texts of fewer than ``window`` words stay; repeated rows of more words lose all of
+    them and stay as empty texts; an empty table gives an empty result.
+    """
     classes, cut = repeats(docs, text_col, window)
     every = (F.col("copies") > 1) & (F.col("n_words") >= window)
+    key, kept = fresh("own_key", docs.columns), fresh("own_kept", docs.columns)
     changed = classes.join(cut.select("cid", "kept"), "cid", "left").where(every | F.col("kept").isNotNull()).select(
-        F.col("key").alias("_repeat_key"), F.when(every, F.lit("")).otherwise(F.col("kept")).alias("_kept")
+        F.col("key").alias(key), F.when(every, F.lit("")).otherwise(F.col("kept")).alias(kept)
     )
-    joined = docs.withColumn("_repeat_key", text_key(text_col)).join(changed, "_repeat_key", "left")
-    return joined.withColumn(text_col, F.coalesce("_kept", text_col)).select(*docs.columns)
+    joined = docs.withColumn(key, text_key(text_col)).join(changed, key, "left")
+    return joined.withColumn(text_col, F.coalesce(kept, text_col)).select(*columns(docs))
 
 
 def op7_substring_recompression(spark, sf_dir: str) -> DataFrame:

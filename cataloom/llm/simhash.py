@@ -28,21 +28,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .scratch import Scratch
+from .scratch import Scratch, columns, fresh
 
 SEED = 42
 SAMPLE = 4096
+FITTED = 12
 SHARD_ROWS = 4096
-CELL_ROWS = 256
+CELL_ROWS = 1536
 TILE_PAIRS = 2048
 SHINGLES = 400_000
 
 
 def fingerprint(raw: bytes | None, words: int = 4) -> int:
     """The unsigned 64-bit SimHash of one UTF-8 text; null, empty and blank texts give 0."""
+    return fingerprint_and_size(raw, words)[0]
+
+
+def fingerprint_and_size(raw: bytes | None, words: int) -> tuple[int, int]:
+    """The fingerprint, and how many different shingles the text has (one at least)."""
     parts = (raw or b"").lower().split()
     if not parts:
-        return 0
+        return 0, 1
     joined = b" ".join(parts)
     lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
     ends = np.cumsum(lengths + 1) - 1
@@ -55,7 +61,7 @@ def fingerprint(raw: bytes | None, words: int = 4) -> int:
     for at in range(0, n, 65536):
         bits = np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]), len(np.unique(hashes))
 
 
 def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,27 +87,43 @@ def _distance(values: np.ndarray, vantage: np.ndarray, mask: int) -> np.ndarray:
 
 
 def fit_tree(sample: np.ndarray, mask: int, depth: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Vantages and thresholds of a complete tree, node i having children 2i+1 (inside) and 2i+2."""
+    """Vantages and thresholds of the first ``FITTED`` levels of a tree, node i having children 2i+1
+    (inside) and 2i+2.  Below them a sample has nothing to say; see ``_node``."""
     rng = np.random.default_rng(seed)
-    nodes = (1 << depth) - 1
-    vantages, limits = np.zeros(nodes, dtype=np.uint64), np.zeros(nodes, dtype=np.int16)
+    nodes = (1 << min(depth, FITTED)) - 1
+    vantages, limits = _rule(np.arange(nodes), mask)
     members = {0: sample}
     for i in range(nodes):
         own = members.pop(i, sample[:0])
-        vantages[i] = own[rng.integers(len(own))] if len(own) else rng.integers(0, 1 << 63, dtype=np.uint64)
-        d = _distance(own, vantages[i], mask)
-        limits[i] = np.median(d) if len(own) else mask.bit_count() // 2
-        members[2 * i + 1], members[2 * i + 2] = own[d <= limits[i]], own[d > limits[i]]
+        if len(own):
+            vantages[i] = own[rng.integers(len(own))]
+            d = _distance(own, vantages[i], mask)
+            limits[i] = np.median(d)
+            members[2 * i + 1], members[2 * i + 2] = own[d <= limits[i]], own[d > limits[i]]
     return vantages, limits
 
 
+def _rule(node: np.ndarray, mask: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vantages and thresholds of nodes by rule: bits mixed from the node's number, half of the width."""
+    x = (node.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29)), np.full(len(node), mask.bit_count() // 2, dtype=np.int16)
+
+
+def _node(node: np.ndarray, vantages: np.ndarray, limits: np.ndarray, mask: int) -> tuple[np.ndarray, np.ndarray]:
+    if not len(node) or node.max() < len(vantages):
+        return vantages[node], limits[node]
+    return _rule(node, mask)
+
+
 def deal(values: np.ndarray, vantages: np.ndarray, limits: np.ndarray, mask: int, radius: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, leaf) for each leaf that a value belongs to, boundary overlaps included."""
     row, node = np.arange(len(values)), np.zeros(len(values), dtype=np.int64)
     for _ in range(depth):
-        d = _distance(values[row], vantages[node], mask)
-        inside = d <= limits[node]
-        overlap = ~inside & (d - radius <= limits[node])
+        vantage, limit = _node(node, vantages, limits, mask)
+        d = np.bitwise_count((values[row] ^ vantage) & np.uint64(mask)).astype(np.int16)
+        inside = d <= limit
+        overlap = ~inside & (d - radius <= limit)
         row, node = (
             np.concatenate([row, row[overlap]]),
             np.concatenate([2 * node + np.where(inside, 1, 2), 2 * node[overlap] + 1]),
@@ -161,86 +183,127 @@ def _compared(values: np.ndarray, mask: int, block_radius: int, cell: int) -> It
             yield head, own[at:], np.bitwise_count(values[head][:, None] ^ values[own[at:]][None, :])
 
 
-def shard_links(values: np.ndarray, mask: int, block_radius: int, radius: int, pairs: bool = False, cell: int = CELL_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of one shard: (member, root of its component in the shard), or with ``pairs``
-    as many links whose ends are within the radius of each other."""
-    values = np.unique(values)
-    forest = _Forest(len(values))
+def _of_like_size(sizes: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    return np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b])
+
+
+def shard_links(
+    nodes: np.ndarray, values: np.ndarray, sizes: np.ndarray, mask: int, block_radius: int, radius: int, pairs: bool = False,
+    similarity: float = 0.0, cell: int = CELL_ROWS,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of one shard of ``nodes`` with fingerprints ``values``: (member, root of its
+    component in the shard), or with ``pairs`` as many links whose ends are within the radius.
+    Nodes whose ``sizes`` rule out the ``similarity`` do not count as linked."""
+    order = np.argsort(nodes, kind="stable")
+    nodes, values, sizes = nodes[order], values[order], sizes[order]
+    forest = _Forest(len(nodes))
     for head, own, apart in _compared(values, mask, block_radius, cell):
-        for limit in (radius // 3, 2 * radius // 3, radius) if pairs else (radius,):  # near pairs first
-            a, b = np.nonzero(apart <= limit)
-            forest.link(head[a[a < b]], own[b[a < b]])
+        a, b = np.nonzero(apart <= radius)
+        far = apart[a, b]
+        a, b = head[a], own[b]
+        some = (a < b) & _of_like_size(sizes, a, b, similarity)
+        a, b, far = a[some], b[some], far[some]
+        for low, high in ((0, radius // 3), (radius // 3 + 1, 2 * radius // 3), (2 * radius // 3 + 1, radius)):  # near pairs first
+            some = (far >= low) & (far <= high)
+            forest.link(a[some], b[some])
     if pairs:
         a, b = (np.concatenate([x[i] for x in forest.joined] or [np.zeros(0, dtype=np.int64)]) for i in (0, 1))
-        return values[np.maximum(a, b)], values[np.minimum(a, b)]
+        return nodes[np.maximum(a, b)], nodes[np.minimum(a, b)]
     roots = forest.roots()
-    moved = roots != np.arange(len(values))
-    return values[moved], values[roots[moved]]
+    moved = roots != np.arange(len(nodes))
+    return nodes[moved], nodes[roots[moved]]
 
 
 def shard_pairs(
-    values: np.ndarray, roots: np.ndarray, masks: list[int], block: int, block_radius: int, radius: int, cell: int = CELL_ROWS
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of one shard of ``block`` within the radius whose ``roots`` differ, the larger value first.
+    nodes: np.ndarray, values: np.ndarray, sizes: np.ndarray, roots: np.ndarray, masks: list[int], block: int, block_radius: int, radius: int,
+    similarity: float = 0.0, cell: int = CELL_ROWS,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of one shard of ``block`` within the radius whose ``roots`` differ, the larger node first.
     A pair comes only from the first block whose radius it keeps; overlapping cells may repeat it."""
-    values, first = np.unique(values, return_index=True)
-    roots = roots[first]
+    order = np.argsort(nodes, kind="stable")
+    nodes, values, sizes, roots = nodes[order], values[order], sizes[order], roots[order]
     for head, own, apart in _compared(values, masks[block], block_radius, cell):
         a, b = np.nonzero(apart <= radius)
-        a, b = head[a[a < b]], own[b[a < b]]
-        fresh = (roots[a] != roots[b]) & (_distance(values[a], values[b], masks[block]) <= block_radius)
+        a, b = head[a], own[b]
+        some = (a < b) & (roots[a] != roots[b]) & _of_like_size(sizes, a, b, similarity)
+        a, b = a[some], b[some]
+        fresh = _distance(values[a], values[b], masks[block]) <= block_radius
         for earlier in masks[:block]:
             fresh &= _distance(values[a], values[b], earlier) > block_radius
-        a, b = a[fresh], b[fresh]
-        yield values[np.maximum(a, b)], values[np.minimum(a, b)]
+        yield nodes[b[fresh]], nodes[a[fresh]]
+
+
+def bands(sizes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, band) such that rows whose sizes allow the ``similarity`` meet in a band: sizes from one
+    power of two to the next, and those below that may still be similar.  With 0 there is one band."""
+    rows = np.arange(len(sizes))
+    if not similarity:
+        return rows, np.zeros(len(sizes), dtype=np.int64)
+    band = np.frexp(sizes.astype(np.float64))[1].astype(np.int64)  # 2 ** (band - 1) <= size < 2 ** band
+    near = np.flatnonzero(sizes >= similarity * (1 << band))
+    return np.concatenate([rows, near]), np.concatenate([band, band[near] + 1])
 
 
-def _dealt(distinct: DataFrame, n: int, masks: list[int], near: int, shard_rows: int) -> DataFrame:
-    """(shard, fingerprint, root) for each leaf of each block's tree that a fingerprint belongs to."""
-    depth = max(0, min(18, math.ceil(math.log2(max(1, n) / shard_rows))))
-    sample = np.array(
-        [r[0] for r in distinct.select("fingerprint").orderBy(F.xxhash64("fingerprint")).limit(SAMPLE).collect()],
-        dtype=np.int64,
-    ).view(np.uint64)
-    trees = [fit_tree(sample, m, depth, 7 + i) for i, m in enumerate(masks)]
+def _dealt(distinct: DataFrame, masks: list[int], near: int, similarity: float, shard_rows: int) -> DataFrame:
+    """(shard, node, fingerprint, size, root) for each leaf of each block's tree that a node belongs to.
+    Each band of sizes goes down the trees as far as its number of rows asks for."""
+    columns = ["node", "fingerprint", "size", "root"]
+    picked = distinct.select(*columns)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"band": bands(b["size"].to_numpy(np.int64), similarity)[1]})
+
+    counted = picked.mapInPandas(count, "band long").groupBy("band").count().collect()  # 64 rows at most
+    depths = {r["band"]: max(0, math.ceil(math.log2(r["count"] / shard_rows))) for r in counted}
+    found = picked.select("fingerprint").orderBy(F.xxhash64("fingerprint", "node")).limit(SAMPLE).toPandas()["fingerprint"]
+    sample = found.to_numpy(np.int64).view(np.uint64)
+    trees = [fit_tree(sample, m, max(depths.values(), default=0), 7 + i) for i, m in enumerate(masks)]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            values, roots = b["fingerprint"].to_numpy(np.int64).view(np.uint64), b["root"].to_numpy(np.int64)
-            for i, m in enumerate(masks):
-                row, leaf = deal(values, *trees[i], m, near, depth)
-                yield pd.DataFrame({"shard": (leaf << 4) | i, "fingerprint": values[row].view(np.int64), "root": roots[row]})
+            values = b["fingerprint"].to_numpy(np.int64).view(np.uint64)
+            rows, of = bands(b["size"].to_numpy(np.int64), similarity)
+            for band in np.unique(of).tolist():
+                own = rows[of == band]
+                for i, m in enumerate(masks):
+                    row, leaf = deal(values[own], *trees[i], m, near, depths[band])
+                    yield b.iloc[own[row]].assign(shard=((leaf << 8 | band) << 4) | i)[["shard", *columns]]
 
-    return distinct.select("fingerprint", "root").mapInPandas(assign, "shard long, fingerprint long, root long")
+    # the rows are few bytes for their work, so their partitions must not be put together
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return picked.mapInPandas(assign, "shard long, node long, fingerprint long, size long, root long").repartition(parts, "shard")
 
 
-def hamming_links(distinct: DataFrame, n: int, radius: int = 4, blocks: int = 3, pairs: bool = False, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(u, v): links that connect exactly the distinct ``fingerprint`` values that pairs within
-    ``radius`` bits connect.  ``n``: their number, which sets the depth of the trees.  With
-    ``pairs`` the ends of each link are such a pair."""
+def hamming_links(
+    distinct: DataFrame, radius: int = 4, blocks: int = 3, pairs: bool = False, similarity: float = 0.0, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """(u, v): links that connect exactly the nodes of ``distinct`` (node, fingerprint, size) that pairs
+    within ``radius`` bits, of sizes that allow the ``similarity``, connect.  With ``pairs`` the ends
+    of each link are such a pair."""
     masks, near = block_masks(blocks), radius // blocks
 
     def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        values = b["fingerprint"].to_numpy(np.int64).view(np.uint64)
-        a, root = shard_links(values, masks[int(key[0]) & 15], near, radius, pairs)
-        return pd.DataFrame({"u": a.view(np.int64), "v": root.view(np.int64)})
+        nodes, values, sizes = (b[x].to_numpy(np.int64) for x in ("node", "fingerprint", "size"))
+        u, v = shard_links(nodes, values.view(np.uint64), sizes, masks[int(key[0]) & 15], near, radius, pairs, similarity)
+        return pd.DataFrame({"u": u, "v": v})
 
-    dealt = _dealt(distinct.withColumn("root", F.col("fingerprint")), n, masks, near, shard_rows).drop("root")
+    dealt = _dealt(distinct.withColumn("root", F.col("node")), masks, near, similarity, shard_rows)
     return dealt.groupBy("shard").applyInPandas(search, "u long, v long")
 
 
-def hamming_pairs(rooted: DataFrame, n: int, radius: int, blocks: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(u, v, shard): all pairs within ``radius`` bits of distinct ``fingerprint`` values that have not
-    the same ``root``, each once, with a shard that they share."""
+def hamming_pairs(rooted: DataFrame, radius: int, blocks: int, similarity: float = 0.0, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(u, v, shard): all pairs within ``radius`` bits, of sizes that allow the ``similarity``, of nodes
+    (node, fingerprint, size, root) that have not the same ``root``, each once, with a shard that they share."""
     masks, near = block_masks(blocks), radius // blocks
 
     def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        values, roots = b["fingerprint"].to_numpy(np.int64).view(np.uint64), b["root"].to_numpy(np.int64)
-        found = list(shard_pairs(values, roots, masks, int(key[0]) & 15, near, radius))
-        u, v = (np.concatenate([x[i] for x in found] or [values[:0]]).view(np.int64) for i in (0, 1))
+        nodes, values, sizes, roots = (b[x].to_numpy(np.int64) for x in ("node", "fingerprint", "size", "root"))
+        found = list(shard_pairs(nodes, values.view(np.uint64), sizes, roots, masks, int(key[0]) & 15, near, radius, similarity))
+        u, v = (np.concatenate([x[i] for x in found] or [nodes[:0]]) for i in (0, 1))
         return pd.DataFrame({"u": u, "v": v, "shard": int(key[0])}).drop_duplicates()
 
-    found = _dealt(rooted, n, masks, near, shard_rows).groupBy("shard").applyInPandas(search, "u long, v long, shard long")
+    found = _dealt(rooted, masks, near, similarity, shard_rows).groupBy("shard").applyInPandas(search, "u long, v long, shard long")
     return found.groupBy("u", "v").agg(F.min("shard").alias("shard"))
 
 
@@ -263,7 +326,7 @@ def near_duplicates(
     groups = scratch.save(
         rows.groupBy("fingerprint").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_same")), "groups"
     )
-    links = hamming_links(groups, groups.count(), radius)
+    links = hamming_links(groups.select(F.col("fingerprint").alias("node"), "fingerprint", F.lit(1).cast("long").alias("size")), radius)
     roots = connected_components(links, scratch).select(F.col("node").alias("fingerprint"), "root")
     rooted = groups.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -283,20 +346,24 @@ def shingle_jaccard(a: bytes, b: bytes, words: int) -> float:
 
 
 def tiled_alike(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(u, v) of the ``pairs`` (u, v, shard) whose texts (fingerprint, raw) are at least so similar.
+    """(u, v) of the ``pairs`` (u, v[, shard]) whose texts (node, raw) are at least so similar.
 
-    The pairs of a shard are cut into tiles by a hash of each end, so a text goes once to each tile
+    The pairs (of a shard) are cut into tiles by a hash of each end, so a text goes once to each tile
     that needs it and not once to each pair.
     """
-    sides = pairs.groupBy("shard").agg(F.ceil(F.sqrt(F.count("*") / TILE_PAIRS)).alias("sides"))
-    tiles = pairs.join(sides, "shard").select(
+    if "shard" in pairs.columns:
+        sides = pairs.groupBy("shard").agg(F.ceil(F.sqrt(F.count("*") / TILE_PAIRS)).alias("sides"))
+        sided = pairs.join(sides, "shard")
+    else:
+        sided = pairs.withColumns({"shard": F.lit(0), "sides": F.lit(max(1, math.ceil(math.sqrt(pairs.count() / TILE_PAIRS))))})
+    tiles = sided.select(
         "shard", "u", "v", *(F.pmod(F.xxhash64(x), "sides").alias(f"tile_{x}") for x in ("u", "v"))
     )
     at = ["shard", "tile_u", "tile_v"]
-    ends = tiles.select(*at, F.col("u").alias("fingerprint")).union(tiles.select(*at, "v")).distinct()
+    ends = tiles.select(*at, F.col("u").alias("node")).union(tiles.select(*at, "v")).distinct()
 
     def compare(p: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        raw, known, held, good = dict(zip(t["fingerprint"], t["raw"])), {}, 0, []
+        raw, known, held, good = dict(zip(t["node"], t["raw"])), {}, 0, []
         for u, v in zip(p["u"], p["v"]):
             if held > SHINGLES:
                 known, held = {}, 0
@@ -305,6 +372,9 @@ def tiled_alike(pairs: DataFrame, texts: DataFrame, words: int, similarity: floa
                     known[x] = _shingles(raw[x], words)
                     held += len(known[x])
             a, b = known[u], known[v]
+            if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+                good.append(False)
+                continue
             both = len(a & b)
             good.append(both / (len(a) + len(b) - both) >= similarity)
         return p.loc[np.array(good, dtype=bool), ["u", "v"]]
@@ -312,67 +382,74 @@ def tiled_alike(pairs: DataFrame, texts: DataFrame, words: int, similarity: floa
     # the rows are few bytes for their work, so their partitions must not be put together
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = ["of_shard", "of_u", "of_v"]
-    needed = ends.toDF(*own, "fingerprint").join(texts, "fingerprint").repartition(parts, *own)
+    needed = ends.toDF(*own, "node").join(texts, "node").repartition(parts, *own)
     return tiles.repartition(parts, *at).groupBy(*at).cogroup(needed.groupBy(*own)).applyInPandas(compare, "u long, v long")
 
 
 def keep_one_of_near_duplicates(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 11, blocks: int = 6, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 15, blocks: int = 8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, the one with the smallest id.
 
-    A similarity of 0.8 over word shingles makes SimHashes differ in about 10 bits.  Pairs within
-    ``radius`` bits found by the vantage-point trees are compared on their texts, and only those of at
-    least ``similarity`` count as links; equal fingerprints are links as they are.  First a spanning
-    forest of the pairs is compared, then every other pair whose ends the links found have not
-    joined: the groups are those of all pairs.  Null
-    ids come last; of rows with one id one stays.  All columns stay as they are.
+    A similarity of 0.8 over word shingles makes SimHashes differ in 10 bits on average, in more than 15
+    for about one pair in 50.  Pairs of different texts within ``radius`` bits found by the
+    vantage-point trees are compared on their texts, and only those of at least ``similarity`` count as
+    links; equal texts are linked as they are.  First a spanning forest of the pairs is compared, then
+    every other pair whose ends the links found have not joined: the groups are those of all pairs.
+
+    A null text counts as empty; texts without words have one shingle, the empty one, and are
+    near-duplicates of each other, so one of them stays.  Null ids come last; of rows with one id, and
+    of repeated rows, one stays.  An empty table gives an empty result.  Very long texts are
+    fingerprinted and compared whole.  All columns stay as they are, whatever their names.
     """
     scratch = Scratch(docs.sparkSession, "near_duplicates")
 
-    @F.pandas_udf("long")
-    def hashed(raw: pd.Series) -> pd.Series:
-        made = np.fromiter((fingerprint(x, words) for x in raw), dtype=np.uint64, count=len(raw))
-        return pd.Series(made.view(np.int64))
-
-    @F.pandas_udf("double")
-    def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([shingle_jaccard(x, y, words) for x, y in zip(a, b)], dtype="float64")
-
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    base = scratch.save(docs.withColumns({"_fp": hashed(text), "_row": F.monotonically_increasing_id()}), "base")
-    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), F.col("_row").alias("row"))
-    groups = scratch.save(
-        base.groupBy(F.col("_fp").alias("fingerprint")).agg(F.min(order).alias("first"), F.count("*").alias("n")), "groups"
+    @F.pandas_udf("fingerprint long, size long")
+    def hashed(raw: pd.Series) -> pd.DataFrame:
+        made = [fingerprint_and_size(x, words) for x in raw]
+        values = np.fromiter((x for x, _ in made), dtype=np.uint64, count=len(made))
+        return pd.DataFrame({"fingerprint": values.view(np.int64), "size": [n for _, n in made]}, dtype="int64")
+
+    own, text = fresh("own", docs.columns), F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    base = scratch.save(
+        docs.withColumn(
+            own, F.struct(hashed(text).alias("made"), F.md5(text).alias("digest"), F.monotonically_increasing_id().alias("row"))
+        ),
+        "base",
     )
-    n = groups.count()
-
-    def texts_of(pairs: DataFrame, name: str) -> DataFrame:
-        ends = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "fingerprint")
-        rows = groups.join(ends, "fingerprint").select("fingerprint", F.col("first.row").alias("_row"))
-        return scratch.save(base.select("_row", text.alias("raw")).join(rows, "_row").select("fingerprint", "raw"), name)
-
-    def alike(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-        a = texts.select(F.col("fingerprint").alias("u"), F.col("raw").alias("a"))
-        b = texts.select(F.col("fingerprint").alias("v"), F.col("raw").alias("b"))
-        return scratch.save(pairs.join(a, "u").join(b, "v").where(jaccard("a", "b") >= similarity).select("u", "v"), name)
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), F.col(f"{own}.row").alias("row"))
+    rows = base.select(f"{own}.made.*", f"{own}.digest", f"{own}.row", order.alias("first"), text.alias("raw"))
+    nodes = scratch.save(
+        rows.groupBy("fingerprint", "digest").agg(F.min("first").alias("first"), F.min("size").alias("size"), F.count("*").alias("n"))
+        .withColumn("node", F.col("first.row")),
+        "nodes",
+    )
+
+    def alike(pairs: DataFrame, name: str) -> DataFrame:
+        ends = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "row")
+        texts = scratch.save(rows.join(ends, "row", "left_semi").select(F.col("row").alias("node"), "raw"), f"{name}_texts")
+        found = scratch.save(tiled_alike(pairs, texts, words, similarity), name)
+        scratch.drop(f"{name}_texts")
+        return found
 
     def joined(links: DataFrame, name: str) -> DataFrame:
-        return connected_components(links, Scratch(docs.sparkSession, name)).select(F.col("node").alias("fingerprint"), "root")
-
-    pairs = scratch.save(hamming_links(groups, n, radius, blocks, pairs=True).distinct(), "pairs")
-    roots = joined(alike(pairs, texts_of(pairs, "texts"), "alike"), "near_duplicates_0")
-    rooted = groups.select("fingerprint").join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    rest = scratch.save(hamming_pairs(rooted, n, radius, blocks).join(pairs, ["u", "v"], "left_anti"), "rest")
-    scratch.drop("texts")
-    found = scratch.save(tiled_alike(rest, texts_of(rest, "rest_texts"), words, similarity), "found")
-    roots = joined(found.union(roots), "near_duplicates_1")
-    rooted = groups.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+        roots = connected_components(links, scratch, name)
+        return scratch.save(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{name}_rooted")
+
+    forest = scratch.save(hamming_links(nodes, radius, blocks, True, similarity).distinct(), "forest")
+    links = alike(forest, "near")
+    rest = scratch.save(
+        hamming_pairs(joined(links, "first"), radius, blocks, similarity).join(forest, ["u", "v"], "left_anti"), "rest"
+    )
+    rooted = joined(links.union(alike(rest, "more")), "second")
     firsts = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1")
-    several = rooted.join(firsts.select("root", "kept"), "root").select(F.col("fingerprint").alias("_fp"), F.col("kept.row").alias("kept"))
-    spare = scratch.save(base.select("_fp", "_row").join(several, "_fp").where("_row <> kept").select("_row"), "spare")
-    few = spare.count() <= 1_000_000  # 8 bytes a row, so at most some 30 MB are broadcast
-    return base.join(F.broadcast(spare) if few else spare, "_row", "left_anti").select(*docs.columns)
+    several = rooted.join(firsts.select("root", "kept"), "root").select("fingerprint", "digest", F.col("kept.row").alias("kept"))
+    spare = scratch.save(
+        rows.select("fingerprint", "digest", "row").join(several, ["fingerprint", "digest"]).where("row <> kept").select("row"), "spare"
+    )
+    some = spare.count() <= 1_000_000  # 8 bytes a row, so at most some 30 MB are broadcast
+    spare = spare.withColumnRenamed("row", fresh("row", base.columns))
+    return base.join(F.broadcast(spare) if some else spare, base[own]["row"] == spare[spare.columns[0]], "left_anti").select(*columns(docs))
 
 
 def op1_simhash_vptree(spark, sf_dir: str) -> DataFrame:

@@ -153,7 +153,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
     """(text, label) of at most ``sample`` labelled ids outside the held-out fold, by a hash order.
 
     The picked ids are bounded by ``sample``, so they are broadcast and the texts are not shuffled.
-    An id labelled twice counts with its larger label; null ids and null labels count for nothing.
+    An id labelled twice counts with its larger label, and of rows with one id the smallest text is
+    learnt from; null ids and null labels count for nothing.
     """
     ids = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
@@ -162,7 +163,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return own.join(F.broadcast(ids), "doc_id").select("text", "label")
+    return own.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label")).select("text", "label")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
@@ -182,10 +183,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
-    """The rows of ``docs`` whose text scores below 0.5, all columns as they are."""
+    """The rows of ``docs`` whose text scores below 0.5, all columns as they are, whatever their names.
+
+    Null and empty texts score the bias and very long ones are scored whole; a null doc_id stays or goes
+    by its text; repeated rows stay or go together; with no labels every score is 0.5 and every row goes; an
+    empty table gives an empty result.
+    """
     weights, bias = fit(training_rows(docs, labels, sample=sample), bits)
-    scored = docs.withColumn("_toxic", score_column(docs.sparkSession, weights, bias, F.col("text")))
-    return scored.where("_toxic < 0.5").select(*docs.columns)
+    return docs.where(score_column(docs.sparkSession, weights, bias, F.col("text")) < 0.5)
 
 
 def op9_toxicity_ftrl(spark, sf_dir: str) -> DataFrame:
