@@ -76,6 +76,62 @@ def test_quality(spark):
     assert quality.quality(odd.limit(0), none).count() == 0
 
 
+def test_quality_views():
+    words = [f"w{i}" for i in range(3000)] + [f"w{i}" for i in range(1095)]
+    a, b = quality.text_view(" ".join(words)), quality.text_view(" ".join([*words, "w0", "w1"]))
+    assert a[quality.BUCKETS] == pytest.approx(3000 / 4095) and b[quality.BUCKETS] == pytest.approx(3000 / 4097)
+    half = quality.BUCKETS // 2
+    assert (quality.text_view("a" * 100 + "9")[half:-3] != quality.text_view("a" * 100)[half:-3]).any()
+
+
+def test_logistic_against_plain_steps():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((200, 3))
+    y = (x[:, 0] > 0.2).astype(float)
+    w, m, v = np.zeros(4), np.zeros(4), np.zeros(4)
+    for t in range(1, 251):
+        g = np.zeros(4)
+        for row, label in zip(np.c_[x, np.ones(200)], y):
+            g += (1 / (1 + np.exp(-row @ w)) - label) * row / 200
+        g[:3] += 1e-3 * w[:3]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    assert quality.logistic(x, y) == pytest.approx(w, rel=1e-2, abs=1e-2)
+
+
+def test_co_training_learns_from_rows_without_labels(spark):
+    rng = random.Random(8)
+    good, bad = [[f"{k}{i}" for i in range(300)] for k in "gb"]
+    rows = []
+    for i in range(600):
+        words = [rng.choice(good if i % 2 else bad) for _ in range(12)]
+        rows.append((i, " ".join(words) + ("\n" * (i % 2)), None, "a" if i % 2 else "b", None, "x"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    got = quality.quality(docs.repartition(7), labels).orderBy("doc_id").collect()
+    assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in got]) > 0.95
+    again = quality.quality(docs.union(docs).repartition(3), labels).where("doc_id < 20").orderBy("doc_id").collect()
+    assert len(again) == 40 and all(a == b for a, b in zip(again[::2], again[1::2]))
+
+
+def test_ftrl_against_plain_steps():
+    rng = np.random.default_rng(3)
+    model, z, n = toxicity.Ftrl(40, alpha=0.5, l1=0.3), [0.0] * 41, [0.0] * 41
+    for _ in range(200):
+        at, label = np.unique(rng.integers(0, 41, 6)), float(rng.integers(0, 2))
+        model.learn(at, label)
+        w = {}
+        for i in at.tolist():
+            w[i] = 0.0 if abs(z[i]) <= 0.3 else -(z[i] - np.sign(z[i]) * 0.3) / ((1.0 + n[i] ** 0.5) / 0.5 + 1.0)
+        g = 1 / (1 + np.exp(-sum(w.values()))) - label
+        for i in at.tolist():
+            sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 0.5
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+    assert model.z == pytest.approx(np.array(z)) and model.n == pytest.approx(np.array(n))
+    assert (model.weights(slice(None)) == 0).any()
+
+
 def test_pseudo_likelihood(spark):
     rng = random.Random(5)
     orderly = [" ".join(["one", "two", "three", "four"] * 60) for _ in range(30)]

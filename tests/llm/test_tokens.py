@@ -61,6 +61,53 @@ def test_packing(spark):
     assert packing.pack_documents(rows.limit(0)).count() == 0
 
 
+def test_rule_against_all_choices():
+    rng, capacity = random.Random(6), 12
+    rule, gaps = packing.SumOfSquares(capacity), []
+    for _ in range(400):
+        size = rng.randint(1, capacity)
+        choices = {}
+        for gap in {g for g in gaps if g >= size} | {None}:
+            after = [g for g in gaps]
+            if gap is not None:
+                after.remove(gap)
+            after.append((capacity if gap is None else gap) - size)
+            choices[gap] = sum(after.count(g) ** 2 for g in set(after) if g)
+        bins = rule.bins
+        rule.place(size)
+        open_ = sorted(g for g in np.repeat(np.arange(capacity + 1), rule.open))
+        assert sum(c * c for c in rule.open) == min(choices.values())
+        least = min(choices.values())
+        tightest = min((g for g, s in choices.items() if s == least and g is not None), default=None)
+        assert (rule.bins > bins) == (tightest is None)
+        gaps.append((capacity if tightest is None else tightest) - size)
+        if tightest is not None:
+            gaps.remove(tightest)
+        gaps = [g for g in gaps if g]
+        assert open_ == sorted(gaps)
+
+
+def test_packing_many_copies(spark):
+    rows = spark.createDataFrame([(7, "the same text " * 9)] * 300, "doc_id long, text string")
+    made = packing.pieces(rows, public_tokenizers.path("word_bpe_49k.json")).selectExpr("*", "monotonically_increasing_id() AS row")
+    got = packing.sequences(made, 300, shard_pieces=20).collect()
+    assert len(got) == 300 and len({r["sequence_id"] >> 32 for r in got}) > 8
+
+
+def test_words_are_remembered_and_forgotten(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "CACHE", 30)
+    own = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(3)
+    for _ in range(20):
+        texts = [" ".join(f"word{rng.randint(0, 60)}" for _ in range(rng.randint(0, 8))) for _ in range(3)]
+        ids, counts = own.encode(pa.array(texts))
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
 def test_sum_of_squares_fills_bins():
     rng = random.Random(4)
     sizes = np.array([rng.randint(1, 2048) for _ in range(4000)])
