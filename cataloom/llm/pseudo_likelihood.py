@@ -1,19 +1,26 @@
 """Language-model scores by masked pseudo-likelihood.
 
-Words are hashed to buckets, whose counts over the whole corpus make classes: the most frequent
-buckets are classes of their own, the others share some.  A network with a window of words on
-both sides gives the probability of the class of the word in the middle, and the corpus counts that of
-the bucket within its class.  A document's score is the sum of the log-probabilities of all its
-words, each predicted from its neighbours.
-
-The network learns from all documents: every task trains a copy on a fixed share of the places in
-its rows, and the copies are averaged, weighted by places, round by round.
+Words are hashed to buckets, whose counts over the whole corpus give each word its share p.  A
+network looks at a window of words on both sides of a place and tilts these shares: with h its hidden
+layer and o(w) the output vector of w, the word w has the probability
+
+    P(w | both sides) = p(w) exp(h o(w)) / Z,   Z = (1 - p(w)) E[exp(h o(x))] + p(w) exp(h o(w)),
+
+the mean being over words x drawn by their shares (a fixed draw when scoring).  Words are rows of the
+network: the most frequent ones have rows of their own, the others share the rest by a hash; there are
+about as many rows as the square root of the corpus' words, so the network grows with the corpus.  A
+document's score is the sum of log P over all its words.
+
+The network learns from every place of every document: documents are dealt by a hash to shards of
+about the same size, each shard trains a copy in a fixed order, and the copies are averaged, weighted
+by places.  Shards, orders and sums (of whole numbers) do not depend on how rows are partitioned.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,18 +28,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .resident import resident
+from .scratch import Scratch
 
-BUCKETS = 1 << 16
-OWN = 191
-SHARED = 64
-EDGE = OWN + SHARED
-CLASSES = EDGE + 1
+BUCKETS = 1 << 22
 SIDE = 2
 HIDDEN = 32
-SHARE = 24
-ROUNDS = 2
+ROWS = (64, 1 << 16)
+DRAWN = 64
+DRAWN_TO_SCORE = 128
+BATCH = 512
+RATE = 0.1
+SHARD_DOCS = 8192
+GROUP_WORDS = 100_000
 CACHE = 400_000
-FIXED = 1 << 24
+FIXED = 1 << 20
+CHUNK = 8192
 OFFSETS = tuple(o for o in range(-SIDE, SIDE + 1) if o)
 
 
@@ -48,162 +58,251 @@ def buckets(text: str) -> np.ndarray:
     if len(known) > CACHE:
         known.clear()
     words = text.split()
-    return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+    return np.fromiter(map(known.__getitem__, words), dtype="<i4", count=len(words))
+
+
+def tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, words): the buckets of each text as bytes of 32-bit numbers."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b["doc_id"], "words": [buckets(t).tobytes() for t in b["text"]]})
+
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    return picked.mapInPandas(run, "doc_id long, words binary")
 
 
-def corpus_counts(texts: DataFrame) -> np.ndarray:
-    """How often each bucket occurs in all of ``texts`` (text)."""
+def corpus_counts(made: DataFrame) -> np.ndarray:
+    """How often each bucket occurs in all of ``made`` (words).  At most ``BUCKETS`` numbers come to the driver."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(BUCKETS, dtype=np.int64)
         for b in batches:
-            for text in b["text"]:
-                total += np.bincount(buckets(text), minlength=BUCKETS)
+            at, n = np.unique(np.frombuffer(b"".join(b["words"]), dtype="<i4"), return_counts=True)
+            total[at] += n
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": at, "n": total[at]})
+        yield pd.DataFrame({"bucket": at.astype(np.int32), "n": total[at]})
 
-    found = texts.mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    found = made.select("words").mapInPandas(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(BUCKETS, dtype=np.int64)
     counts[found["bucket"].to_numpy(np.int64)] = found["n"]
     return counts
 
 
-def classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class of each bucket, log-probability of each bucket in its class, log share of each class)."""
-    order = np.lexsort((np.arange(BUCKETS), -counts))
-    of = OWN + np.arange(BUCKETS) % SHARED
-    of[order[:OWN]] = np.arange(OWN)
-    smooth = counts + 0.5
-    total = np.bincount(of, weights=smooth, minlength=CLASSES)
-    return of, np.log(smooth / total[of]), np.log((total + 0.5) / (total + 0.5).sum())
+@dataclass
+class Vocabulary:
+    """For each bucket its row in the network and its share; for each row how many words it has in all."""
+
+    rows: int
+    of: np.ndarray
+    share: np.ndarray
+    weight: np.ndarray
+
+    @staticmethod
+    def of_counts(counts: np.ndarray) -> "Vocabulary":
+        total = int(counts.sum())
+        rows = int(np.clip(1 << max(0, round(np.log2(max(1, total)) / 2)), *ROWS))
+        own = rows * 3 // 4
+        of = (own + np.arange(BUCKETS) % (rows - own)).astype(np.int32)
+        met = np.flatnonzero(counts)
+        top = met[np.lexsort((met, -counts[met]))[:own]]
+        of[top] = np.arange(len(top))
+        weight = np.bincount(of, weights=counts, minlength=rows)
+        return Vocabulary(rows, of, (counts / max(1, total)).astype(np.float32), weight)
+
+    def draw(self, at: np.ndarray) -> np.ndarray:
+        """Rows at places from 0 to 1 of the corpus, laid out row by row."""
+        ends = np.cumsum(self.weight)
+        return np.minimum(np.searchsorted(ends, at * ends[-1], "right"), self.rows - 1)
+
+
+def _add_by_row(table: np.ndarray, squares: np.ndarray, at: np.ndarray, steps: np.ndarray, rate: float) -> None:
+    """Adds the sum of ``steps`` of each row, in a measure that falls with the squares added before."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    own, total = at[first], np.add.reduceat(steps[order], first, axis=0)
+    held = squares[own] + np.einsum("ij,ij->i", total, total) / np.float32(HIDDEN)
+    squares[own] = held
+    table[own] += total * (np.float32(rate) / np.sqrt(held + np.float32(1e-8)))[:, None]
 
 
 class Network:
-    """Input tables for each place beside the word, a hidden layer, and an output layer."""
+    """Input rows for each place beside the word (one more for beyond the text's ends), a hidden layer
+    without weights of its own, and output rows."""
 
-    def __init__(self, prior: np.ndarray, seed: int = 23):
+    def __init__(self, rows: int, seed: int = 23):
         rng = np.random.default_rng(seed)
-        self.tables = (rng.standard_normal((len(OFFSETS), CLASSES, HIDDEN)) * 0.1).astype(np.float32)
-        self.out = (rng.standard_normal((HIDDEN, CLASSES)) * 0.1).astype(np.float32)
-        self.bias = prior.astype(np.float32)
+        self.rows = rows
+        self.table = (rng.standard_normal((len(OFFSETS) * (rows + 1), HIDDEN)) * 0.1).astype(np.float32)
+        self.out = (rng.standard_normal((rows, HIDDEN)) * 0.1).astype(np.float32)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.tables.ravel(), self.out.ravel(), self.bias])
+        return np.concatenate([self.table.ravel(), self.out.ravel()])
 
     def load(self, flat: np.ndarray) -> "Network":
-        a, b = self.tables.size, self.tables.size + self.out.size
-        self.tables = flat[:a].reshape(self.tables.shape).astype(np.float32)
-        self.out = flat[a:b].reshape(self.out.shape).astype(np.float32)
-        self.bias = flat[b:].astype(np.float32)
+        a = self.table.size
+        self.table, self.out = (x.astype(np.float32) for x in (flat[:a].reshape(self.table.shape), flat[a:].reshape(self.out.shape)))
         return self
 
-    def hidden(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-        h = self.tables[0][padded[at + SIDE + OFFSETS[0]]]
-        for table, o in zip(self.tables[1:], OFFSETS[1:]):
-            h = h + table[padded[at + SIDE + o]]
+    def around(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The input rows of the window around each place (``padded`` has SIDE ends before and after each text)."""
+        return np.stack([padded[at + SIDE + o] + i * (self.rows + 1) for i, o in enumerate(OFFSETS)], axis=1)
+
+    def hidden(self, around: np.ndarray) -> np.ndarray:
+        h = self.table[around[:, 0]]
+        for i in range(1, len(OFFSETS)):
+            h += self.table[around[:, i]]
         return np.tanh(h)
 
-    def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Of the class at each place (``padded`` has SIDE edges before and after each text)."""
+    def tilt(self, h: np.ndarray, words: np.ndarray, drawn: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(h o(w), exp(h o(x)) for the drawn x, Z)."""
+        hit = np.clip(np.einsum("ij,ij->i", h, self.out[words]), -30, 30)
+        others = np.exp(np.clip(h @ self.out[drawn].T, -30, 30))
+        return hit, others, (1 - share) * others.mean(axis=1) + share * np.exp(hit)
+
+    def log_probabilities(self, padded: np.ndarray, at: np.ndarray, share: np.ndarray, drawn: np.ndarray) -> np.ndarray:
+        """log P of the word at each place."""
         out = np.empty(len(at))
-        for i in range(0, len(at), 4096):
-            own = at[i : i + 4096]
-            z = self.hidden(padded, own) @ self.out + self.bias
-            hit = z[np.arange(len(own)), padded[own + SIDE]]
-            top = z.max(axis=1)
-            out[i : i + 4096] = hit - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+        for i in range(0, len(at), 8192):
+            own = at[i : i + 8192]
+            hit, _, z = self.tilt(self.hidden(self.around(padded, own)), padded[own + SIDE], drawn, share[i : i + 8192])
+            out[i : i + 8192] = np.log(share[i : i + 8192]) + hit - np.log(z)
         return out
 
-    def learn(self, padded: np.ndarray, at: np.ndarray, rate: float) -> None:
-        h = self.hidden(padded, at)
-        z = h @ self.out + self.bias
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(at)), padded[at + SIDE]] -= 1
-        back = (p @ self.out.T) * (1 - h * h)
-        step = np.float32(rate / len(at))
-        self.out -= step * (h.T @ p)
-        self.bias -= step * p.sum(axis=0)
-        for table, o in zip(self.tables, OFFSETS):
-            seen = padded[at + SIDE + o]
-            order = np.argsort(seen, kind="stable")
-            own, first = np.unique(seen[order], return_index=True)
-            table[own] -= step * np.add.reduceat(back[order], first, axis=0)
-
-
-def _laid_out(texts: pd.Series, of: np.ndarray) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows, lengths, buckets, padded classes, places) of neighbouring texts, some 100,000 words each.
-    A place p is a word's, whose class stands at padded[p + SIDE]."""
-    rows, held, n = [], [], 0
-    for i, text in enumerate(texts):
-        rows.append(i)
-        held.append(buckets(text))
+    def steps(self, around: np.ndarray, words: np.ndarray, share: np.ndarray, drawn: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Gradients of the summed log P: of each place's input, output row, and of the drawn rows."""
+        h = self.hidden(around)
+        hit, others, z = self.tilt(h, words, drawn, share)
+        up = 1 - share * np.exp(hit) / z
+        down = others * (-(1 - share) / (z * len(drawn)))[:, None]
+        back = up[:, None] * self.out[words] + down @ self.out[drawn]
+        return back * (1 - h * h), up[:, None] * h, down.T @ h
+
+
+class Learner:
+    """A copy of the network that learns from one shard of texts, in their order."""
+
+    def __init__(self, start: np.ndarray, vocabulary: Vocabulary, shard: int):
+        self.network, self.vocabulary = Network(vocabulary.rows).load(start), vocabulary
+        self.squares = np.zeros(len(self.network.table), dtype=np.float32), np.zeros(len(self.network.out), dtype=np.float32)
+        self.rng, self.places = np.random.default_rng([29, shard]), 0
+
+    def learn(self, texts: list[np.ndarray]) -> None:
+        net, voc = self.network, self.vocabulary
+        flat, padded, places, _ = laid_out(texts, voc)
+        share = voc.share[flat]
+        order = self.rng.permutation(len(places))
+        for i in range(0, len(order), BATCH):
+            own = order[i : i + BATCH]
+            around, words = net.around(padded, places[own]), padded[places[own] + SIDE]
+            drawn = voc.draw(self.rng.random(DRAWN))
+            into, up, down = net.steps(around, words, share[own], drawn)
+            _add_by_row(net.table, self.squares[0], around.ravel(), np.repeat(into, len(OFFSETS), axis=0), RATE)
+            _add_by_row(net.out, self.squares[1], np.concatenate([words, drawn]), np.concatenate([up, down]), RATE)
+        self.places += len(places)
+
+
+def laid_out(texts: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets, padded rows, places, lengths) of texts laid end to end; a place p is a word's, whose row
+    stands at padded[p + SIDE]."""
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    flat = np.concatenate(texts) if len(texts) else np.zeros(0, dtype="<i4")
+    first = np.cumsum(lengths + SIDE) - lengths - SIDE
+    places = np.arange(len(flat)) + np.repeat(first - (np.cumsum(lengths) - lengths), lengths)
+    padded = np.full(len(flat) + SIDE * (len(texts) + 1), vocabulary.rows, dtype=np.int32)
+    padded[places + SIDE] = vocabulary.of[flat]
+    return flat, padded, places, lengths
+
+
+def _grouped(words: pd.Series) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(from, to, texts) of neighbouring rows, some 100,000 words each."""
+    at, held, n = 0, [], 0
+    for i, raw in enumerate(words):
+        held.append(np.frombuffer(raw, dtype="<i4"))
         n += len(held[-1])
-        if n >= 100_000 or i + 1 == len(texts):
-            lengths = np.fromiter(map(len, held), dtype=np.int64, count=len(held))
-            flat = np.concatenate(held)
-            first = np.cumsum(lengths + SIDE) - lengths - SIDE
-            places = np.arange(len(flat)) + np.repeat(first - (np.cumsum(lengths) - lengths), lengths)
-            padded = np.full(len(flat) + SIDE * (len(held) + 1), EDGE, dtype=np.int64)
-            padded[places + SIDE] = of[flat]
-            yield rows, lengths, flat, padded, places
-            rows, held, n = [], [], 0
-
-
-def train(texts: DataFrame, network: Network, of: np.ndarray, rounds: int = ROUNDS, share: int = SHARE) -> Network:
-    """``rounds`` of local training and averaging; each round takes every ``share``-th place of all texts."""
-    size = len(network.flat())
-    for r in range(rounds):
-        start = network.flat()
-
-        def run(batches: Iterator[pd.DataFrame], r=r, start=start) -> Iterator[pd.DataFrame]:
-            own, n = Network(np.zeros(CLASSES)).load(start), 0
-            for b in batches:
-                for _, _, _, padded, places in _laid_out(b["text"], of):
-                    picked = places[(r * 7 + n) % share :: share]
-                    picked = picked[np.random.default_rng(len(picked)).permutation(len(picked))]
-                    for i in range(0, len(picked), 128):
-                        own.learn(padded, picked[i : i + 128], 0.5 / (1 + r))
-                    n += len(picked)
+        if n >= GROUP_WORDS or i + 1 == len(words):
+            yield at, i + 1, held
+            at, held, n = i + 1, [], 0
+
+
+def train(made: DataFrame, network: Network, vocabulary: Vocabulary, n: int) -> Network:
+    """One pass over all places; ``n``: the rows of ``made`` (doc_id, words)."""
+    start, spark = network.flat(), made.sparkSession
+    sent = spark.sparkContext.broadcast((start, vocabulary))
+    shards, parts = max(1, round(n / SHARD_DOCS)), int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        start, voc = sent.value
+        total, places, own, shard = np.zeros(len(start), dtype=np.int64), 0, None, None
+        held: list[np.ndarray] = []
+        words = 0
+
+        def ended() -> None:
+            nonlocal total, places
+            own.learn(held)
             # whole numbers, so that sums do not depend on their order
-            moved = np.rint((own.flat() - start).astype(np.float64) * FIXED).astype(np.int64) * n
-            yield pd.DataFrame({"at": np.arange(size + 1), "value": np.append(moved, n)})
-
-        summed = texts.mapInPandas(run, "at long, value long").groupBy("at").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"))
-        found = summed.select("at", F.col("value").cast("double").alias("value")).toPandas()
-        total = np.zeros(size + 1)
-        total[found["at"].to_numpy(np.int64)] = found["value"]
-        if total[-1]:
-            network.load(start + total[:-1] / total[-1] / FIXED)
+            total += np.rint((own.network.flat() - start) * np.float32(FIXED)).astype(np.int64) * own.places
+            places += own.places
+
+        for b in batches:
+            for at, raw in zip(b["shard"], b["words"]):
+                if at != shard:
+                    if own is not None:
+                        ended()
+                    own, shard, held, words = Learner(start, voc, int(at)), at, [], 0
+                held.append(np.frombuffer(raw, dtype="<i4"))
+                words += len(held[-1])
+                if words >= GROUP_WORDS:
+                    own.learn(held)
+                    held, words = [], 0
+        if own is not None:
+            ended()
+            cuts = range(0, len(total), CHUNK)
+            yield pd.DataFrame({"at": [-1, *cuts], "moved": [np.array([places]).tobytes(), *(total[i : i + CHUNK].tobytes() for i in cuts)]})
+
+    def add(b: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, dtype=np.int64).astype(object) for x in b["moved"])
+        return pd.DataFrame({"at": [b["at"].iloc[0]], "moved": [total.astype(np.float64).tobytes()]})
+
+    dealt = made.withColumn("h", F.xxhash64("words", "doc_id")).withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
+    sorted_ = dealt.repartition(parts, "shard").sortWithinPartitions("shard", "h", "doc_id")
+    moved = sorted_.select("shard", "words").mapInPandas(run, "at long, moved binary")
+    found = {r["at"]: np.frombuffer(r["moved"]) for r in moved.groupBy("at").applyInPandas(add, "at long, moved binary").collect()}
+    if found and found[-1][0]:
+        total = np.concatenate([found[i] for i in range(0, len(start), CHUNK)])
+        network.load(start + total / found[-1][0] / FIXED)
     return network
 
 
 def pseudo_log_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, log_likelihood, per_word) for every row of ``docs``.
 
-    ``log_likelihood`` sums over all words of the whole text; ``per_word`` is its mean.  Null and
-    empty texts have no words, 0 and a null mean; repeated rows score alike and count as often as
-    they occur; an empty table gives an empty result.
+    ``log_likelihood`` sums over all words of the whole text, however long; ``per_word`` is its mean.
+    Null and empty texts have no words, 0 and a null mean; repeated rows score alike and count as often
+    as they occur; null ids stay; an empty table gives an empty result; other columns are not read.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    texts = own.select("text")
-    of, within, prior = classes(corpus_counts(texts))
-    network = train(texts, Network(prior), of)
-    sent = docs.sparkSession.sparkContext.broadcast((network.flat(), of.astype(np.int16), within))  # 0.9 MB
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "pseudo_likelihood")
+    made = scratch.save(tokens(docs, id_col, text_col), "tokens")
+    vocabulary = Vocabulary.of_counts(corpus_counts(made))
+    network = train(made, Network(vocabulary.rows), vocabulary, made.count())
+    # a number and a share for each bucket (34 MB at any size) and the network (45 MB at most)
+    sent = spark.sparkContext.broadcast((network.flat(), vocabulary))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        flat, of, within = sent.value
-        net, of = Network(np.zeros(CLASSES)).load(flat), of.astype(np.int64)
+        flat, voc = sent.value
+        net = Network(voc.rows).load(flat)
+        drawn = voc.draw((np.arange(DRAWN_TO_SCORE) + 0.5) / DRAWN_TO_SCORE)
         for b in batches:
             n, score = np.zeros(len(b), dtype=np.int64), np.zeros(len(b))
-            for rows, lengths, own, padded, places in _laid_out(b["text"], of):
-                each = net.log_probabilities(padded, places) + within[own]
-                text = np.repeat(np.arange(len(rows)), lengths)
-                n[rows] = lengths
-                score[rows] = np.bincount(text, weights=each, minlength=len(rows))
+            for at, to, texts in _grouped(b["words"]):
+                own, padded, places, lengths = laid_out(texts, voc)
+                each = net.log_probabilities(padded, places, voc.share[own], drawn)
+                n[at:to] = lengths
+                score[at:to] = np.bincount(np.repeat(np.arange(len(texts)), lengths), weights=each, minlength=len(texts))
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_words": n, "log_likelihood": score})
 
-    scored = own.mapInPandas(run, "doc_id long, n_words long, log_likelihood double")
+    scored = made.mapInPandas(run, "doc_id long, n_words long, log_likelihood double")
     return scored.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 

@@ -132,6 +132,69 @@ def test_ftrl_against_plain_steps():
     assert (model.weights(slice(None)) == 0).any()
 
 
+def small_network():
+    rng = np.random.default_rng(4)
+    counts = np.zeros(pseudo_likelihood.BUCKETS, dtype=np.int64)
+    counts[:90] = rng.integers(1, 50, 90)
+    voc = pseudo_likelihood.Vocabulary.of_counts(counts)
+    net = pseudo_likelihood.Network(voc.rows)
+    net.out *= 8
+    net.table *= 8
+    return rng, counts, voc, net
+
+
+def test_probabilities_against_the_formula():
+    rng, counts, voc, net = small_network()
+    texts = [rng.integers(0, 90, n).astype("<i4") for n in (7, 0, 1, 30)]
+    drawn = voc.draw((np.arange(16) + 0.5) / 16)
+    flat, padded, places, lengths = pseudo_likelihood.laid_out(texts, voc)
+    got = np.split(net.log_probabilities(padded, places, voc.share[flat], drawn), np.cumsum(lengths)[:-1])
+    for text, each in zip(texts, got):
+        for i, w in enumerate(text):
+            h = np.zeros(pseudo_likelihood.HIDDEN)
+            for k, o in enumerate(pseudo_likelihood.OFFSETS):
+                row = voc.of[text[i + o]] if 0 <= i + o < len(text) else voc.rows
+                h += net.table[k * (voc.rows + 1) + row]
+            h, p = np.tanh(h), counts[w] / counts.sum()
+            own = p * np.exp(h @ net.out[voc.of[w]])
+            z = (1 - p) * np.mean([np.exp(h @ net.out[x]) for x in drawn]) + own
+            assert each[i] == pytest.approx(np.log(own / z), rel=1e-4)
+
+
+def test_gradients_against_differences():
+    rng, _, voc, net = small_network()
+    text = rng.integers(0, 90, 12).astype("<i4")
+    drawn = voc.draw(rng.random(8))
+    flat, padded, places, _ = pseudo_likelihood.laid_out([text], voc)
+    share = voc.share[flat]
+    net.table, net.out = net.table.astype(np.float64), net.out.astype(np.float64)
+    around = net.around(padded, places)
+    into, up, down = net.steps(around, padded[places + pseudo_likelihood.SIDE], share, drawn)
+    table, out = np.zeros_like(net.table), np.zeros_like(net.out)
+    np.add.at(table, around.ravel(), np.repeat(into, len(pseudo_likelihood.OFFSETS), axis=0))
+    np.add.at(out, np.concatenate([padded[places + pseudo_likelihood.SIDE], drawn]), np.concatenate([up, down]))
+    for weights, gradient in ((net.table, table), (net.out, out)):
+        for i in rng.choice(np.flatnonzero(np.abs(gradient).sum(axis=1) > 0), 6):
+            def total(step):
+                weights[i, 3] += step
+                made = net.log_probabilities(padded, places, share, drawn).sum()
+                weights[i, 3] -= step
+                return made
+
+            assert (total(1e-5) - total(-1e-5)) / 2e-5 == pytest.approx(gradient[i, 3], rel=1e-3, abs=1e-5)
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "SHARD_DOCS", 20)
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 40))), "x") for i in range(60)] + [(None, "a b", "x"), (7, "a b", "x"), (7, "a b", "x"), (99, "long " * 120000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, words string")
+    found = [sorted(tuple(r) for r in pseudo_likelihood.pseudo_log_likelihood(docs.repartition(n)).collect() if r["doc_id"] is not None) for n in (2, 16)]
+    assert len(found[0]) == 63
+    for a, b in zip(*found):
+        assert a == pytest.approx(b, abs=1e-4)
+
+
 def test_pseudo_likelihood(spark):
     rng = random.Random(5)
     orderly = [" ".join(["one", "two", "three", "four"] * 60) for _ in range(30)]
