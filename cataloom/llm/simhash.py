@@ -12,14 +12,19 @@ lies outside by no more than the block radius goes inside as well.  By the trian
 two fingerprints within the block radius that a node separates then both are inside, so every
 pair shares at least one leaf (shard).  Within a shard the tree goes on in memory and small
 cells are compared on all 64 bits.  A shard returns a spanning forest of its links, at most one per
-fingerprint, never all its pairs.  Where a link holds only if the texts agree, a second pass returns all
-pairs that the links found so far have not joined.
+fingerprint, never all its pairs.
+
+Where a link holds only if the texts agree, the components of these links are what may belong together.
+Each is taken up with the shingle hashes of its texts, every pair within the radius that is not joined
+yet is compared, and again a forest is returned.  A component too large for one task goes down the
+trees once more, shingle hashes and all.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -35,20 +40,14 @@ SAMPLE = 4096
 FITTED = 12
 SHARD_ROWS = 4096
 CELL_ROWS = 1536
-TILE_PAIRS = 2048
-SHINGLES = 400_000
-
-
-def fingerprint(raw: bytes | None, words: int = 4) -> int:
-    """The unsigned 64-bit SimHash of one UTF-8 text; null, empty and blank texts give 0."""
-    return fingerprint_and_size(raw, words)[0]
+GROUP_ROWS = 4096
 
 
-def fingerprint_and_size(raw: bytes | None, words: int) -> tuple[int, int]:
-    """The fingerprint, and how many different shingles the text has (one at least)."""
+def shingle_hashes(raw: bytes | None, words: int) -> np.ndarray:
+    """XXH64 of each shingle of a text, repeats included; none without words."""
     parts = (raw or b"").lower().split()
     if not parts:
-        return 0, 1
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(parts)
     lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
     ends = np.cumsum(lengths + 1) - 1
@@ -56,12 +55,26 @@ def fingerprint_and_size(raw: bytes | None, words: int) -> tuple[int, int]:
     first = (ends - lengths)[:n].tolist()
     last = ends[-n:].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(first, last)], dtype="<u8")
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(first, last)], dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes (0 without any)."""
     ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, n, 65536):
+    for at in range(0, len(hashes), 65536):
         bits = np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]), len(np.unique(hashes))
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(raw: bytes | None, words: int = 4) -> int:
+    """The unsigned 64-bit SimHash of one UTF-8 text; null, empty and blank texts give 0."""
+    return majority(shingle_hashes(raw, words))
+
+
+def _remixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
 
 
 def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -136,7 +149,6 @@ class _Forest:
 
     def __init__(self, n: int):
         self.up = np.arange(n)
-        self.joined: list[tuple[np.ndarray, np.ndarray]] = []
 
     def _roots(self, x: np.ndarray) -> np.ndarray:
         while True:
@@ -146,17 +158,13 @@ class _Forest:
             x = above
 
     def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        """Join the ends of all links; ``joined`` gets those that were needed."""
+        """Join the ends of all links."""
         x, y = a, b
-        while len(a):
+        while len(x):
             x, y = self._roots(x), self._roots(y)
             apart = x != y
-            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-            high, low = np.maximum(x, y), np.minimum(x, y)
-            np.minimum.at(self.up, high, low)
-            won = np.flatnonzero(self.up[high] == low)
-            won = won[np.unique(high[won], return_index=True)[1]]
-            self.joined.append((a[won], b[won]))
+            x, y = x[apart], y[apart]
+            np.minimum.at(self.up, np.maximum(x, y), np.minimum(x, y))
 
     def roots(self) -> np.ndarray:
         return self._roots(np.arange(len(self.up)))
@@ -183,54 +191,75 @@ def _compared(values: np.ndarray, mask: int, block_radius: int, cell: int) -> It
             yield head, own[at:], np.bitwise_count(values[head][:, None] ^ values[own[at:]][None, :])
 
 
-def _of_like_size(sizes: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+def _of_like_size(sizes: np.ndarray, a: np.ndarray, b: np.ndarray | int, similarity: float) -> np.ndarray:
     return np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b])
 
 
-def shard_links(
-    nodes: np.ndarray, values: np.ndarray, sizes: np.ndarray, mask: int, block_radius: int, radius: int, pairs: bool = False,
-    similarity: float = 0.0, cell: int = CELL_ROWS,
-) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of one shard of ``nodes`` with fingerprints ``values``: (member, root of its
-    component in the shard), or with ``pairs`` as many links whose ends are within the radius.
-    Nodes whose ``sizes`` rule out the ``similarity`` do not count as linked."""
-    order = np.argsort(nodes, kind="stable")
-    nodes, values, sizes = nodes[order], values[order], sizes[order]
+@dataclass(frozen=True)
+class Near:
+    """What a candidate pair is: fingerprints within ``radius`` bits, both fingerprints together within
+    ``total``, and numbers of different shingles that allow the ``similarity``."""
+
+    radius: int = 4
+    blocks: int = 3
+    total: int = 128
+    similarity: float = 0.0
+
+    @property
+    def masks(self) -> list[int]:
+        return block_masks(self.blocks)
+
+    @property
+    def block_radius(self) -> int:
+        return self.radius // self.blocks
+
+
+def shard_links(rows: pd.DataFrame, mask: int, near: Near, cell: int = CELL_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of one shard of ``rows`` (node, fingerprint, second, size): (member, root of its
+    component in the shard)."""
+    rows = rows.sort_values("node", kind="stable")
+    nodes, values, second, sizes = (rows[x].to_numpy(np.int64) for x in ("node", "fingerprint", "second", "size"))
+    values, second = values.view(np.uint64), second.view(np.uint64)
     forest = _Forest(len(nodes))
-    for head, own, apart in _compared(values, mask, block_radius, cell):
-        a, b = np.nonzero(apart <= radius)
+    for head, own, apart in _compared(values, mask, near.block_radius, cell):
+        a, b = np.nonzero(apart <= near.radius)
         far = apart[a, b]
         a, b = head[a], own[b]
-        some = (a < b) & _of_like_size(sizes, a, b, similarity)
-        a, b, far = a[some], b[some], far[some]
-        for low, high in ((0, radius // 3), (radius // 3 + 1, 2 * radius // 3), (2 * radius // 3 + 1, radius)):  # near pairs first
-            some = (far >= low) & (far <= high)
-            forest.link(a[some], b[some])
-    if pairs:
-        a, b = (np.concatenate([x[i] for x in forest.joined] or [np.zeros(0, dtype=np.int64)]) for i in (0, 1))
-        return nodes[np.maximum(a, b)], nodes[np.minimum(a, b)]
+        some = (a < b) & (far + np.bitwise_count(second[a] ^ second[b]) <= near.total) & _of_like_size(sizes, a, b, near.similarity)
+        forest.link(a[some], b[some])
     roots = forest.roots()
     moved = roots != np.arange(len(nodes))
     return nodes[moved], nodes[roots[moved]]
 
 
-def shard_pairs(
-    nodes: np.ndarray, values: np.ndarray, sizes: np.ndarray, roots: np.ndarray, masks: list[int], block: int, block_radius: int, radius: int,
-    similarity: float = 0.0, cell: int = CELL_ROWS,
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of one shard of ``block`` within the radius whose ``roots`` differ, the larger node first.
-    A pair comes only from the first block whose radius it keeps; overlapping cells may repeat it."""
-    order = np.argsort(nodes, kind="stable")
-    nodes, values, sizes, roots = nodes[order], values[order], sizes[order], roots[order]
-    for head, own, apart in _compared(values, masks[block], block_radius, cell):
-        a, b = np.nonzero(apart <= radius)
-        a, b = head[a], own[b]
-        some = (a < b) & (roots[a] != roots[b]) & _of_like_size(sizes, a, b, similarity)
-        a, b = a[some], b[some]
-        fresh = _distance(values[a], values[b], masks[block]) <= block_radius
-        for earlier in masks[:block]:
-            fresh &= _distance(values[a], values[b], earlier) > block_radius
-        yield nodes[b[fresh]], nodes[a[fresh]]
+def alike(rows: pd.DataFrame, near: Near) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what the similar candidate pairs among ``rows`` (node, fingerprint, second,
+    size, hashes) connect; a pair that is joined already is not compared."""
+    rows = rows.sort_values("node", kind="stable")
+    nodes, values, second, sizes = (rows[x].to_numpy(np.int64) for x in ("node", "fingerprint", "second", "size"))
+    values, second = values.view(np.uint64), second.view(np.uint64)
+    names, flat = np.unique(np.frombuffer(b"".join(rows["hashes"]), dtype="<u8"), return_inverse=True)
+    ends = np.cumsum(sizes)
+    starts, held, label = ends - sizes, np.zeros(len(names), dtype=bool), np.arange(len(nodes))
+    u, v = [], []
+    for i in range(1, len(nodes)):
+        bits = np.bitwise_count(values[:i] ^ values[i])
+        at = np.flatnonzero((bits <= near.radius) & (label[:i] != label[i]))
+        at = at[(bits[at] + np.bitwise_count(second[at] ^ second[i]) <= near.total) & _of_like_size(sizes, at, i, near.similarity)]
+        if not len(at):
+            continue
+        own = flat[starts[i] : ends[i]]
+        held[own] = True
+        size = sizes[at]
+        begin = np.cumsum(size) - size
+        both = np.add.reduceat(held[flat[np.arange(int(size.sum())) + np.repeat(starts[at] - begin, size)]], begin, dtype=np.int64)
+        held[own] = False
+        for j in at[both >= near.similarity * (size + sizes[i] - both)].tolist():
+            if label[j] != label[i]:
+                u.append(nodes[i])
+                v.append(nodes[j])
+                label[label == label[j]] = label[i]
+    return np.array(u, dtype=np.int64), np.array(v, dtype=np.int64)
 
 
 def bands(sizes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -244,17 +273,18 @@ def bands(sizes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([rows, near]), np.concatenate([band, band[near] + 1])
 
 
-def _dealt(distinct: DataFrame, masks: list[int], near: int, similarity: float, shard_rows: int) -> DataFrame:
-    """(shard, node, fingerprint, size, root) for each leaf of each block's tree that a node belongs to.
-    Each band of sizes goes down the trees as far as its number of rows asks for."""
-    columns = ["node", "fingerprint", "size", "root"]
+def _dealt(distinct: DataFrame, near: Near, shard_rows: int) -> DataFrame:
+    """``distinct`` (node, fingerprint, second, size[, hashes]) with the ``shard`` of each leaf of each
+    block's tree that a node belongs to.  Each band of sizes goes down the trees as far as its number
+    of rows asks for."""
+    masks, columns = near.masks, ["node", "fingerprint", "second", "size", *(c for c in distinct.columns if c == "hashes")]
     picked = distinct.select(*columns)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"band": bands(b["size"].to_numpy(np.int64), similarity)[1]})
+            yield pd.DataFrame({"band": bands(b["size"].to_numpy(np.int64), near.similarity)[1]})
 
-    counted = picked.mapInPandas(count, "band long").groupBy("band").count().collect()  # 64 rows at most
+    counted = picked.select("size").mapInPandas(count, "band long").groupBy("band").count().collect()  # 64 rows at most
     depths = {r["band"]: max(0, math.ceil(math.log2(r["count"] / shard_rows))) for r in counted}
     found = picked.select("fingerprint").orderBy(F.xxhash64("fingerprint", "node")).limit(SAMPLE).toPandas()["fingerprint"]
     sample = found.to_numpy(np.int64).view(np.uint64)
@@ -263,48 +293,57 @@ def _dealt(distinct: DataFrame, masks: list[int], near: int, similarity: float,
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             values = b["fingerprint"].to_numpy(np.int64).view(np.uint64)
-            rows, of = bands(b["size"].to_numpy(np.int64), similarity)
+            rows, of = bands(b["size"].to_numpy(np.int64), near.similarity)
             for band in np.unique(of).tolist():
                 own = rows[of == band]
                 for i, m in enumerate(masks):
-                    row, leaf = deal(values[own], *trees[i], m, near, depths[band])
-                    yield b.iloc[own[row]].assign(shard=((leaf << 8 | band) << 4) | i)[["shard", *columns]]
+                    row, leaf = deal(values[own], *trees[i], m, near.block_radius, depths[band])
+                    yield b.iloc[own[row]].assign(shard=((leaf << 8 | band) << 4) | i)
 
     # the rows are few bytes for their work, so their partitions must not be put together
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return picked.mapInPandas(assign, "shard long, node long, fingerprint long, size long, root long").repartition(parts, "shard")
+    schema = "node long, fingerprint long, second long, size long" + ", hashes binary" * ("hashes" in columns) + ", shard long"
+    return picked.mapInPandas(assign, schema).repartition(parts, "shard")
 
 
-def hamming_links(
-    distinct: DataFrame, radius: int = 4, blocks: int = 3, pairs: bool = False, similarity: float = 0.0, shard_rows: int = SHARD_ROWS
-) -> DataFrame:
-    """(u, v): links that connect exactly the nodes of ``distinct`` (node, fingerprint, size) that pairs
-    within ``radius`` bits, of sizes that allow the ``similarity``, connect.  With ``pairs`` the ends
-    of each link are such a pair."""
-    masks, near = block_masks(blocks), radius // blocks
+def hamming_links(distinct: DataFrame, near: Near, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(u, v): links that connect exactly the nodes of ``distinct`` (node, fingerprint, second, size) that
+    candidate pairs connect."""
+    masks = near.masks
 
     def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        nodes, values, sizes = (b[x].to_numpy(np.int64) for x in ("node", "fingerprint", "size"))
-        u, v = shard_links(nodes, values.view(np.uint64), sizes, masks[int(key[0]) & 15], near, radius, pairs, similarity)
+        u, v = shard_links(b, masks[int(key[0]) & 15], near)
         return pd.DataFrame({"u": u, "v": v})
 
-    dealt = _dealt(distinct.withColumn("root", F.col("node")), masks, near, similarity, shard_rows)
-    return dealt.groupBy("shard").applyInPandas(search, "u long, v long")
+    return _dealt(distinct, near, shard_rows).groupBy("shard").applyInPandas(search, "u long, v long")
 
 
-def hamming_pairs(rooted: DataFrame, radius: int, blocks: int, similarity: float = 0.0, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(u, v, shard): all pairs within ``radius`` bits, of sizes that allow the ``similarity``, of nodes
-    (node, fingerprint, size, root) that have not the same ``root``, each once, with a shard that they share."""
-    masks, near = block_masks(blocks), radius // blocks
+def similar_links(grouped: DataFrame, near: Near, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(u, v): links that connect exactly what similar candidate pairs connect, for ``grouped`` (node,
+    fingerprint, second, size, hashes, root), where all candidate pairs are in one root's group.
 
-    def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        nodes, values, sizes, roots = (b[x].to_numpy(np.int64) for x in ("node", "fingerprint", "size", "root"))
-        found = list(shard_pairs(nodes, values.view(np.uint64), sizes, roots, masks, int(key[0]) & 15, near, radius, similarity))
-        u, v = (np.concatenate([x[i] for x in found] or [nodes[:0]]) for i in (0, 1))
-        return pd.DataFrame({"u": u, "v": v, "shard": int(key[0])}).drop_duplicates()
+    Groups share shards by a hash; those of more than ``group_rows`` rows go down the trees.
+    """
+    sizes = grouped.groupBy("root").agg(F.count("*").alias("members"))
+    large = grouped.join(sizes.where(F.col("members") > group_rows), "root", "left_semi")
+    small = grouped.join(sizes.where(F.col("members") <= group_rows), "root", "left_semi")
+    shards = max(1, small.select("root").count() // 1024)
+    parts = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = small.withColumn("shard", F.pmod(F.xxhash64("root"), F.lit(shards))).repartition(parts, "shard")
+
+    def in_groups(b: pd.DataFrame) -> pd.DataFrame:
+        found = [alike(own, near) for _, own in b.groupby("root", sort=False) if len(own) > 1]
+        u, v = (np.concatenate([x[i] for x in found] or [np.zeros(0, dtype=np.int64)]) for i in (0, 1))
+        return pd.DataFrame({"u": u, "v": v})
 
-    found = _dealt(rooted, masks, near, similarity, shard_rows).groupBy("shard").applyInPandas(search, "u long, v long, shard long")
-    return found.groupBy("u", "v").agg(F.min("shard").alias("shard"))
+    def in_shard(b: pd.DataFrame) -> pd.DataFrame:
+        u, v = alike(b, near)
+        return pd.DataFrame({"u": u, "v": v})
+
+    links = dealt.groupBy("shard").applyInPandas(in_groups, "u long, v long")
+    if large.isEmpty():
+        return links
+    return links.unionByName(_dealt(large, near, group_rows // 2).groupBy("shard").applyInPandas(in_shard, "u long, v long"))
 
 
 def near_duplicates(
@@ -326,7 +365,10 @@ def near_duplicates(
     groups = scratch.save(
         rows.groupBy("fingerprint").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_same")), "groups"
     )
-    links = hamming_links(groups.select(F.col("fingerprint").alias("node"), "fingerprint", F.lit(1).cast("long").alias("size")), radius)
+    one = F.lit(1).cast("long")
+    links = hamming_links(
+        groups.select(F.col("fingerprint").alias("node"), "fingerprint", one.alias("second"), one.alias("size")), Near(radius=radius)
+    )
     roots = connected_components(links, scratch).select(F.col("node").alias("fingerprint"), "root")
     rooted = groups.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -334,81 +376,34 @@ def near_duplicates(
     return rows.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id", "n_same")
 
 
-def _shingles(raw: bytes, words: int) -> set[bytes]:
-    parts = raw.lower().split()
-    return {b" ".join(parts[i : i + words]) for i in range(max(1, len(parts) - words + 1))}
-
-
-def shingle_jaccard(a: bytes, b: bytes, words: int) -> float:
-    """Jaccard similarity of the sets of word shingles of two texts, ASCII letters lower-cased."""
-    p, q = _shingles(a, words), _shingles(b, words)
-    return len(p & q) / len(p | q)
-
-
-def tiled_alike(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(u, v) of the ``pairs`` (u, v[, shard]) whose texts (node, raw) are at least so similar.
-
-    The pairs (of a shard) are cut into tiles by a hash of each end, so a text goes once to each tile
-    that needs it and not once to each pair.
-    """
-    if "shard" in pairs.columns:
-        sides = pairs.groupBy("shard").agg(F.ceil(F.sqrt(F.count("*") / TILE_PAIRS)).alias("sides"))
-        sided = pairs.join(sides, "shard")
-    else:
-        sided = pairs.withColumns({"shard": F.lit(0), "sides": F.lit(max(1, math.ceil(math.sqrt(pairs.count() / TILE_PAIRS))))})
-    tiles = sided.select(
-        "shard", "u", "v", *(F.pmod(F.xxhash64(x), "sides").alias(f"tile_{x}") for x in ("u", "v"))
-    )
-    at = ["shard", "tile_u", "tile_v"]
-    ends = tiles.select(*at, F.col("u").alias("node")).union(tiles.select(*at, "v")).distinct()
-
-    def compare(p: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        raw, known, held, good = dict(zip(t["node"], t["raw"])), {}, 0, []
-        for u, v in zip(p["u"], p["v"]):
-            if held > SHINGLES:
-                known, held = {}, 0
-            for x in (u, v):
-                if x not in known:
-                    known[x] = _shingles(raw[x], words)
-                    held += len(known[x])
-            a, b = known[u], known[v]
-            if min(len(a), len(b)) < similarity * max(len(a), len(b)):
-                good.append(False)
-                continue
-            both = len(a & b)
-            good.append(both / (len(a) + len(b) - both) >= similarity)
-        return p.loc[np.array(good, dtype=bool), ["u", "v"]]
-
-    # the rows are few bytes for their work, so their partitions must not be put together
-    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = ["of_shard", "of_u", "of_v"]
-    needed = ends.toDF(*own, "node").join(texts, "node").repartition(parts, *own)
-    return tiles.repartition(parts, *at).groupBy(*at).cogroup(needed.groupBy(*own)).applyInPandas(compare, "u long, v long")
-
-
 def keep_one_of_near_duplicates(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 15, blocks: int = 8, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 15, blocks: int = 8, total: int = 28, id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, the one with the smallest id.
 
     A similarity of 0.8 over word shingles makes SimHashes differ in 10 bits on average, in more than 15
-    for about one pair in 50.  Pairs of different texts within ``radius`` bits found by the
-    vantage-point trees are compared on their texts, and only those of at least ``similarity`` count as
-    links; equal texts are linked as they are.  First a spanning forest of the pairs is compared, then
-    every other pair whose ends the links found have not joined: the groups are those of all pairs.
-
-    A null text counts as empty; texts without words have one shingle, the empty one, and are
-    near-duplicates of each other, so one of them stays.  Null ids come last; of rows with one id, and
-    of repeated rows, one stays.  An empty table gives an empty result.  Very long texts are
-    fingerprinted and compared whole.  All columns stay as they are, whatever their names.
+    for about one pair in 50; a second SimHash, from the same hashes mixed anew, keeps unrelated texts
+    from meeting.  Candidate pairs of different texts found by the vantage-point trees are compared on the
+    hashes of their shingles, and only those of at least ``similarity`` count as links; equal texts are
+    linked as they are.  The groups are those of all candidate pairs.
+
+    A null text counts as empty; texts without words are near-duplicates of each other, so one of them
+    stays.  Null ids come last; of rows with one id, and of repeated rows, one stays.  An empty table
+    gives an empty result.  Very long texts are fingerprinted and compared whole.  All columns stay as
+    they are, whatever their names.
     """
-    scratch = Scratch(docs.sparkSession, "near_duplicates")
+    scratch, near = Scratch(docs.sparkSession, "near_duplicates"), Near(radius, blocks, total, similarity)
 
-    @F.pandas_udf("fingerprint long, size long")
+    @F.pandas_udf("fingerprint long, second long, size long")
     def hashed(raw: pd.Series) -> pd.DataFrame:
-        made = [fingerprint_and_size(x, words) for x in raw]
-        values = np.fromiter((x for x, _ in made), dtype=np.uint64, count=len(made))
-        return pd.DataFrame({"fingerprint": values.view(np.int64), "size": [n for _, n in made]}, dtype="int64")
+        made = [(majority(h), majority(_remixed(h)), max(1, len(np.unique(h)))) for h in (shingle_hashes(x, words) for x in raw)]
+        values = np.array([x[:2] for x in made], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+        return pd.DataFrame({"fingerprint": values[:, 0], "second": values[:, 1], "size": np.array([x[2] for x in made], dtype=np.int64)})
+
+    @F.pandas_udf("binary")
+    def hashes(raw: pd.Series) -> pd.Series:
+        return pd.Series([(np.unique(shingle_hashes(x, words)) if x.split() else np.zeros(1, dtype="<u8")).tobytes() for x in raw])
 
     own, text = fresh("own", docs.columns), F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     base = scratch.save(
@@ -420,28 +415,18 @@ def keep_one_of_near_duplicates(
     order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), F.col(f"{own}.row").alias("row"))
     rows = base.select(f"{own}.made.*", f"{own}.digest", f"{own}.row", order.alias("first"), text.alias("raw"))
     nodes = scratch.save(
-        rows.groupBy("fingerprint", "digest").agg(F.min("first").alias("first"), F.min("size").alias("size"), F.count("*").alias("n"))
-        .withColumn("node", F.col("first.row")),
+        rows.groupBy("fingerprint", "digest").agg(
+            F.min("first").alias("first"), F.min("second").alias("second"), F.min("size").alias("size"), F.count("*").alias("n")
+        ).withColumn("node", F.col("first.row")),
         "nodes",
     )
-
-    def alike(pairs: DataFrame, name: str) -> DataFrame:
-        ends = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "row")
-        texts = scratch.save(rows.join(ends, "row", "left_semi").select(F.col("row").alias("node"), "raw"), f"{name}_texts")
-        found = scratch.save(tiled_alike(pairs, texts, words, similarity), name)
-        scratch.drop(f"{name}_texts")
-        return found
-
-    def joined(links: DataFrame, name: str) -> DataFrame:
-        roots = connected_components(links, scratch, name)
-        return scratch.save(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{name}_rooted")
-
-    forest = scratch.save(hamming_links(nodes, radius, blocks, True, similarity).distinct(), "forest")
-    links = alike(forest, "near")
-    rest = scratch.save(
-        hamming_pairs(joined(links, "first"), radius, blocks, similarity).join(forest, ["u", "v"], "left_anti"), "rest"
-    )
-    rooted = joined(links.union(alike(rest, "more")), "second")
+    links = scratch.save(hamming_links(nodes, near).distinct(), "links")
+    grouped = nodes.join(connected_components(links, scratch, "candidates"), "node").select("node", "fingerprint", "second", "size", "root")
+    texts = rows.select(F.col("row").alias("node"), "raw").join(grouped.select("node"), "node", "left_semi")
+    grouped = scratch.save(grouped.join(texts.select("node", hashes("raw").alias("hashes")), "node"), "grouped")
+    found = scratch.save(similar_links(grouped, near).distinct(), "found")
+    roots = connected_components(found, scratch, "groups")
+    rooted = scratch.save(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     firsts = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1")
     several = rooted.join(firsts.select("root", "kept"), "root").select("fingerprint", "digest", F.col("kept.row").alias("kept"))
     spare = scratch.save(

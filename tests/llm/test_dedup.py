@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -35,6 +36,14 @@ def components(fps, ids, radius=4):
     return [low.get(x) for x in label]
 
 
+def united(nodes, links):
+    label = {x: x for x in nodes}
+    for a, b in links:
+        p, q = label[a], label[b]
+        label = {k: min(p, q) if x in (p, q) else x for k, x in label.items()}
+    return label
+
+
 def corpus(rng, n=40):
     words = [f"w{i}" for i in range(60)]
     base = [" ".join(rng.choice(words) for _ in range(rng.randint(60, 160))) for _ in range(n)]
@@ -66,16 +75,19 @@ def test_shards_lose_no_link(seed, kind):
     values = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
     flips = [values[i] ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, radius).astype(np.uint64)) if radius else values[i] for i in range(30)]
     values = np.unique(np.concatenate([values, np.array(flips, dtype=np.uint64)]))
-    met = set()
+    met, links = set(), set()
     for mask in sh.block_masks(blocks):
         tree = sh.fit_tree(values[:40], mask, 3, 5)
         row, leaf = sh.deal(values, *tree, mask, radius // blocks, 3)
         for x in np.unique(leaf):
             own = values[np.sort(row[leaf == x])]
             met |= {(int(a), int(b)) for a in own for b in own}
-            a, b = sh.shard_links(np.flatnonzero(np.isin(values, own)), own, np.ones(len(own)), mask, radius // blocks, radius, pairs=True, cell=8)
-            assert all(0 < int(values[p] ^ values[q]).bit_count() <= radius for p, q in zip(a, b))
+            rows = pd.DataFrame({"node": own.view(np.int64), "fingerprint": own.view(np.int64), "second": 0, "size": 1})
+            a, b = sh.shard_links(rows, mask, sh.Near(radius, blocks), cell=8)
+            links |= {(int(p), int(q)) for p, q in zip(a, b)}
     assert all((int(a), int(b)) in met for a in values for b in values if int(a ^ b).bit_count() <= radius)
+    fps, signed = [int(x) for x in values], values.view(np.int64).tolist()
+    assert united(signed, links) == united(signed, [(signed[i], signed[j]) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= radius])
 
 
 def test_keep_one(spark):
@@ -98,14 +110,17 @@ def test_keep_one_against_all_pairs(spark):
             for _ in range(rng.randint(1, 9)):
                 parts[rng.randrange(len(parts))] = f"x{rng.randint(0, 99999)}"
             texts.append(" ".join(parts))
-    fps = [sh.fingerprint(t.encode(), 5) for t in texts]
+    made = [sh.shingle_hashes(t.encode(), 5) for t in texts]
+    fps, second = [sh.majority(h) for h in made], [sh.majority(sh._remixed(h)) for h in made]
     label = list(range(len(texts)))
     near = failed = 0
     for i in range(len(texts)):
         for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= 15:
+            bits = (fps[i] ^ fps[j]).bit_count()
+            if bits <= 15 and bits + (second[i] ^ second[j]).bit_count() <= 28:
                 near += 1
-                if sh.shingle_jaccard(texts[i].encode(), texts[j].encode(), 5) >= 0.8:
+                p, q = shingles(texts[i]), shingles(texts[j])
+                if len(p & q) >= 0.8 * len(p | q):
                     p, q = sorted((label[i], label[j]))
                     label = [p if x == q else x for x in label]
                 else:
@@ -115,28 +130,29 @@ def test_keep_one_against_all_pairs(spark):
     assert kept == sorted(set(label))
 
 
-@settings(max_examples=20, deadline=None)
-@given(st.integers(0, 10**6))
-def test_shard_pairs_are_all_pairs(seed):
-    rng = np.random.default_rng(seed)
-    values = rng.integers(0, 1 << 63, 8, dtype=np.uint64)
-    flips = [values[i % 8] ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 7).astype(np.uint64)) for i in range(80)]
-    values = np.unique(np.concatenate([values, np.array(flips, dtype=np.uint64)]))
-    roots, sizes = rng.integers(0, 12, len(values)), rng.integers(1, 20, len(values))
-    masks, met = sh.block_masks(6), set()
-    for i, mask in enumerate(masks):
-        tree = sh.fit_tree(values[:40], mask, 2, 5)
-        row, leaf = sh.deal(values, *tree, mask, 1, 2)
-        for x in np.unique(leaf):
-            own = row[leaf == x]
-            for a, b in sh.shard_pairs(own, values[own], sizes[own], roots[own], masks, i, 1, 11, 0.8, cell=8):
-                met |= {(int(p), int(q)) for p, q in zip(a, b)}
-    like = lambda i, j: min(sizes[i], sizes[j]) >= 0.8 * max(sizes[i], sizes[j])
-    want = {
-        (i, j) for i in range(len(values)) for j in range(i)
-        if roots[i] != roots[j] and like(i, j) and int(values[i] ^ values[j]).bit_count() <= 11
-    }
-    assert met == want
+@pytest.mark.parametrize("group_rows", [4096, 20])
+def test_similar_links_join_what_all_pairs_join(spark, group_rows):
+    rng = np.random.default_rng(3)
+    near, rows, sets = sh.Near(15, 8, 28, 0.8), [], []
+    for i in range(160):
+        base = np.arange(1000 * (i % 4), 1000 * (i % 4) + 60)
+        own = np.unique(np.concatenate([rng.permutation(base)[: rng.integers(48, 61)], rng.integers(10**6, 10**7, rng.integers(0, 6))])).astype("<u8")
+        hashes = sh._remixed(own * np.uint64(0x9E3779B97F4A7C15))
+        values = np.array([sh.majority(hashes), sh.majority(sh._remixed(hashes))], dtype=np.uint64)
+        sets.append((set(own.tolist()), values))
+        rows.append((i, *values.view(np.int64).tolist(), len(own), bytearray(np.unique(hashes).tobytes()), i % 4))
+    table_ = spark.createDataFrame(rows, "node long, fingerprint long, second long, size long, hashes binary, root long")
+    got = [(r["u"], r["v"]) for r in sh.similar_links(table_, near, group_rows).collect()]
+    links = []
+    for i in range(160):
+        for j in range(i):
+            (p, x), (q, y) = sets[i], sets[j]
+            bits = [int(a ^ b).bit_count() for a, b in zip(x, y)]
+            if i % 4 == j % 4 and bits[0] <= 15 and sum(bits) <= 28 and len(p & q) >= 0.8 * len(p | q):
+                links.append((i, j))
+    assert set(map(tuple, map(sorted, got))) <= {(j, i) for i, j in links}
+    assert group_rows == 20 or len(got) < len(links) / 2
+    assert united(range(160), got) == united(range(160), links)
 
 
 @pytest.mark.parametrize("similarity", [0.0, 0.8, 0.5])
@@ -149,9 +165,14 @@ def test_similar_sizes_meet_in_a_band(similarity):
     assert all(of[i] & of[j] for i in range(299) for j in range(i) if sizes[j] >= similarity * sizes[i])
 
 
+def shingles(text):
+    parts = text.encode().lower().split()
+    return {b" ".join(parts[i : i + 5]) for i in range(max(1, len(parts) - 4))}
+
+
 def similar_pairs(texts, least=0.8):
     """All pairs of at least so similar texts, by the rarest shingles of each (a prefix filter)."""
-    sets = [sh._shingles(t.encode(), 5) for t in texts]
+    sets = [shingles(t) for t in texts]
     seen = Counter(x for s in sets for x in s)
     held, found = {}, []
     for i, s in enumerate(sets):
