@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lex
@@ -108,3 +108,65 @@ def markdown_report(title: str, sections: dict[str, DataFrame], most: int = 100)
         out += [f"## {name}", "", "| " + " | ".join(table.columns) + " |", "|" + " --- |" * len(table.columns)]
         out += ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows] + [""]
     return "\n".join(out)
+
+
+def quality_rows(records: DataFrame, audits: DataFrame, facts: DataFrame, reasons: DataFrame, target: int) -> DataFrame:
+    """(section, place, item, value) of the quality report, values as strings.
+
+    ``records``: the accepted ones; ``audits``: their overall_audit_status; ``facts``: the row of
+    ``funnel``; ``reasons``: (reason, n), the most frequent ones.  Each section is one small aggregate.
+    """
+    def lines(section: int, one_row: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(i).alias("place"), F.lit(c).alias("item"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(one_row.columns)]
+        return one_row.select(F.lit(section).alias("section"), F.explode(F.array(*pairs)).alias("line")).select("section", "line.*")
+
+    def ranked(section: int, counted: DataFrame, item: str) -> DataFrame:
+        made = counted.select(F.col(item).cast("string").alias("item"), "n").groupBy().agg(
+            F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "item"))).alias("all")  # kinds, never records
+        )
+        return made.select(F.lit(section).alias("section"), F.posexplode("all").alias("place", "line")).select(
+            "section", "place", F.col("line.item").alias("item"), (-F.col("line.less")).cast("string").alias("value")
+        )
+
+    n = F.count("*")
+    status = F.col("overall_audit_status")
+    parts = [
+        lines(1, records.agg(F.lit(target).alias("target"), n.alias("accepted"), F.when(n >= target, "YES").otherwise("NO").alias("target_reached"))),
+        lines(2, audits.agg(n.alias("audited"), *(F.count_if(status == s).alias(s) for s in ("PASS", "CORRECTED", "REVIEW_REQUIRED", "REJECT")))),
+        lines(3, records.agg(
+            F.count_if(F.coalesce("official_url", F.lit("")) != "").alias("official_urls"), F.count_if("website_verified").alias("websites_verified"),
+            F.count_if("github_repository_verified").alias("repositories_verified"), F.count_if("logo_verified").alias("logos_verified"),
+            F.count_if(F.col("logo_source") == "github_social_preview").alias("social_previews"), F.count_if("description_grounded").alias("grounded"),
+        )),
+        lines(4, facts),
+        ranked(5, counts_by(records.where("description_source_type IS NOT NULL"), "description_source_type"), "description_source_type"),
+        ranked(6, category_counts(records), "category"),
+        lines(7, numeric_summary(records, "github_stars")),
+        ranked(8, reasons, "reason"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+#: The headings of the report's sections, in their order.
+SECTIONS = (
+    "Status & Summary", "Deterministic Audit Breakdown", "Verification & Semantic Precision Metrics", "Discovery & Qualification Metrics",
+    "Description Source Types", "Category Distribution (Accepted Dataset)", "GitHub Star Metrics", "Top Qualification & Validation Rejection Reasons",
+)
+
+
+def quality_report(rows: DataFrame) -> str:
+    """The report as Markdown; ``rows`` of ``quality_rows`` are some dozens."""
+    held = rows.orderBy("section", "place").collect()
+    out = ["# Quality Report"]
+    for i, name in enumerate(SECTIONS, 1):
+        out += ["", f"## {name}", *(f"- **{r['item']}**: {r['value']}" for r in held if r["section"] == i)]
+    return "\n".join(out) + "\n"
+
+
+def numbered(records: DataFrame, target: int, order: str = "ordinal") -> DataFrame:
+    """The first ``target`` records in their order with their ``position`` in the report, from 1."""
+    few = records.orderBy(order).limit(target)
+    return few.withColumn("position", F.row_number().over(Window.orderBy(order)))

@@ -30,6 +30,7 @@ from .operators.resolve import first_arrivals, resolve, similar_on_host
 from .operators.shape import canonical, clean, extract, normalize, split_official_url, tagged_union
 from .operators.verify import choose_logo, parsed_pages, verify_website, with_pages
 from .sources.sinks import csv_rows, mapping_rows, sheet_rows
+from .streaming.ingest import new_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -550,21 +551,22 @@ def _(spark, d):
 RESPONSES = r"""
 WITH r AS (SELECT conv_id, turn, text, conv_id % 5 <> 0 AS grounded,
   CASE (conv_id + turn) % 4 WHEN 0 THEN 'TIMEOUT' WHEN 1 THEN 'SUCCESS' WHEN 2 THEN 'SUCCESS' ELSE 'MALFORMED' END AS status,
-  CASE WHEN conv_id % 7 = 0 THEN 'https://other.example/' ELSE 'https://a.example/' END AS cited, substr(text, 1, 120) AS description
-  FROM conversations WHERE turn < 3),
+  CASE WHEN conv_id % 7 = 0 THEN 'https://other.example/' ELSE 'https://a.example/' END AS cited, text AS description
+  FROM conversations),
 j AS (SELECT *, CASE WHEN coalesce(description, '') = '' THEN 'EMPTY_DESCRIPTION' WHEN len(trim(description)) < 15 THEN 'DESCRIPTION_TOO_SHORT'
+  WHEN len(trim(description)) > 350 THEN 'DESCRIPTION_EXCEEDS_LENGTH_LIMIT'
   WHEN len(list_filter(string_split_regex(trim(description), '[.!?]+'), lambda x: regexp_matches(x, '\S'))) > 3 THEN 'DESCRIPTION_EXCEEDS_SENTENCE_LIMIT'
   WHEN NOT grounded THEN 'MODEL_UNGROUNDED_FLAG' WHEN cited <> 'https://a.example/' THEN 'UNCITED_SOURCE_URL: ' || cited || ' not in evidence package' ELSE 'VALID_GROUNDED' END AS verdict FROM r),
 u AS (SELECT *, status = 'SUCCESS' AND verdict = 'VALID_GROUNDED' AND coalesce(description, '') <> '' AS usable FROM j)"""
 
 
 def _judged(spark, d) -> DataFrame:
-    c = table(spark, d, "conversations").where("turn < 3")
+    c = table(spark, d, "conversations")
     status = F.element_at(F.array(*map(F.lit, ("TIMEOUT", "SUCCESS", "SUCCESS", "MALFORMED"))), ((F.col("conv_id") + F.col("turn")) % 4 + 1).cast("int"))
     cited = F.when(F.col("conv_id") % 7 == 0, "https://other.example/").otherwise("https://a.example/")
     responses = c.select(
         F.col("conv_id").alias("id"), F.col("turn").alias("provider_rank"), F.concat(F.lit("provider"), F.col("turn").cast("string")).alias("provider"), status.alias("status"),
-        F.substring("text", 1, 120).alias("description"), (F.col("conv_id") % 5 != 0).alias("grounded"), F.array(cited).alias("cited_urls"),
+        F.col("text").alias("description"), (F.col("conv_id") % 5 != 0).alias("grounded"), F.array(cited).alias("cited_urls"),
         F.array(F.lit("WEBSITE")).alias("cited_types"), F.lit(None).cast("string").alias("regenerated"),
     )
     none = F.lit(None).cast("string")
@@ -620,7 +622,9 @@ def _(spark, d):
 
 @query("dups_first_wins", "SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
 def _(spark, d):
-    return first_arrivals(table(spark, d, "documents"), ["text"], ["doc_id"]).select("doc_id", "lang")
+    # the window is dealt by a hash of the text, so only that is shuffled
+    hashed = table(spark, d, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("digest"))
+    return first_arrivals(hashed, ["digest"], ["doc_id"]).select("doc_id", "lang")
 
 
 @query("domain_similarity_join")
@@ -635,7 +639,7 @@ def _(spark, d):
 
 @query("baseline_anti_join", "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def _(spark, d):
-    return table(spark, d, "documents").join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti").select("doc_id", "lang")
+    return new_rows(table(spark, d, "documents").select("doc_id", "lang"), table(spark, d, "labels"), "doc_id", "lang")
 
 
 @query("mapping_log")
@@ -714,11 +718,11 @@ def _(spark, d):
 
 
 @query("array_set_ops", r"""
-WITH t AS (SELECT doc_id, string_split(lower(substr(text, 1, 200)), ' ') AS w FROM documents)
+WITH t AS (SELECT doc_id, string_split(lower(text), ' ') AS w FROM documents)
 SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(w, lambda x: x IN ('the', 'and', 'of', 'la', 'der')))), ',') AS met, CAST(len(list_filter(w, lambda x: x <> 'the')) AS INTEGER) AS without_the,
   CAST(len(list_distinct(w)) AS INTEGER) AS n_distinct FROM t""")
 def _(spark, d):
-    w = F.split(F.lower(F.substring("text", 1, 200)), " ")
+    w = F.split(F.lower("text"), " ")
     lexicon = words(("the", "and", "of", "la", "der"))
     return table(spark, d, "documents").select(
         "doc_id", F.array_join(F.array_sort(F.array_intersect(F.array_distinct(w), lexicon)), ",").alias("met"), F.size(F.array_remove(w, "the")).alias("without_the"),
@@ -806,3 +810,6 @@ def _(spark, d):
 def _(spark, d):
     reason = grounding_reason(F.concat(F.lit("A long enough text "), F.regexp_extract("text", r"(\$\d+)", 1)), F.lit(True), F.array().cast("array<string>"), F.array().cast("array<string>"), F.lit(""))
     return table(spark, d, "documents").select("doc_id", reason.startswith("UNSUPPORTED_PRICING").alias("priced"))
+
+
+from . import io_queries  # noqa: E402, F401  (registers its queries)

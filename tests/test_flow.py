@@ -97,10 +97,58 @@ def test_files(spark, tmp_path):
     facts = file_facts(spark, str(tmp_path / "a.json")).withColumn("record_count", F.lit(2))
     assert verify_manifest(facts, facts).first()["status"] == "PASS"
     assert verify_manifest(facts, facts.withColumn("file_sha256", F.lit("0"))).first()["reason"].startswith("File SHA256 mismatch")
-    held = sinks.Checkpoints(str(tmp_path / "c.json"))
-    held.update("s", "q", page=3, completed=False)
-    again = sinks.Checkpoints(str(tmp_path / "c.json"))
-    assert again.is_completed("s", "q", 2) and not again.is_completed("s", "q", 3) and not again.is_completed("t", "q", 1)
+
+
+def test_scan_goes_on_where_it_stopped(spark, tmp_path):
+    from cataloom.sources import scan
+
+    def item(i):
+        return (i, f"n{i}", f"https://github.com/o/n{i}", None, ("o", None), ["mcp"], "", i, None, None, None, None)
+
+    pages = spark.createDataFrame([("a", 1, 200, [item(1), item(2)]), ("a", 2, 200, [item(3), item(4)]), ("a", 3, 200, [item(5)]), ("b", 1, 200, [item(6)]), ("b", 2, 500, None)], search.PAGE)
+    scan.record(pages, str(tmp_path / "p"))
+    settings = scan.json.dumps({"sources": {"github": {"per_page": 2, "max_pages": 3, "queries": [{"query": "topic:mcp stars:>1", "label": "a"}, {"query": "b"}]}}})
+    read = scan.scan(spark, str(tmp_path / "p"), settings)
+    got = {(r["query"], r["page"]): [i["id"] for i in r["items"] or ()] for r in read.collect()}
+    assert got == {("a", 1): [2, 1], ("a", 2): [4, 3], ("a", 3): [5], ("b", 1): [6], ("b", 2): []}
+    scan.append_progress(scan.progress(read.where("page < 3 and not (query = 'b' and page = 2)"), "web", 2, 3), str(tmp_path / "d"))
+    done = spark.read.parquet(str(tmp_path / "d"))
+    assert sorted(map(tuple, scan.latest(done).collect())) == [("web", "a", 2, False), ("web", "b", 1, True)]
+    again = scan.scan(spark, str(tmp_path / "p"), settings, done, "web")
+    assert sorted((r["query"], r["page"]) for r in again.collect()) == [("a", 2), ("a", 3)]
+    assert sorted(map(tuple, scan.to_read(pages.select("query", "page"), done, "web").collect())) == [("a", 2), ("a", 3)]
+
+
+def test_scan_settings():
+    from cataloom.sources import scan
+
+    assert scan.scan_settings(None) == scan.scan_settings("{broken") == scan.scan_settings("[1]") == scan.DEFAULTS
+    assert scan.scan_settings('{"sources": {"github": {"per_page": 7}}}') == scan.DEFAULTS | {"per_page": 7}
+    assert len(scan.all_slices()) == 25 and len({s["label"] for s in scan.all_slices()}) == 25
+
+
+@pytest.mark.parametrize("mode, status", [("SUCCESS", "SUCCESS"), ("SIMULATED_429", "RATE_LIMITED"), ("SIMULATED_TIMEOUT", "TIMEOUT"), ("SIMULATED_AUTH_ERROR", "AUTH_ERROR"), ("SIMULATED_MALFORMED", "MALFORMED"), ("SIMULATED_UNGROUNDED", "UNGROUNDED"), ("SIMULATED_UNSUPPORTED_URL", "SUCCESS")])
+def test_scripted_providers(spark, mode, status):
+    from cataloom.operators.providers import ask, scripted
+
+    none = F.lit(None).cast("string")
+    package = F.struct(F.lit("Tool").alias("tool_name"), none.alias("official_website_content"), none.alias("repository_description"), none.alias("readme_excerpt"),
+                       F.array().cast("array<string>").alias("topics"), none.alias("company_name"), F.array(F.lit("https://a.example/")).alias("source_urls"))
+    packages = spark.range(2).select(F.col("id").cast("string").alias("id"), package.alias("evidence"))
+    got = ask(packages, [scripted("one", mode), scripted("two")]).orderBy("id", "provider_rank").collect()
+    usable = mode == "SUCCESS"
+    assert [r["status"] for r in got] == ([status] * 2 if usable else [status, "SUCCESS"] * 2)
+    assert [r["usable"] for r in got] == ([True] * 2 if usable else [False, True] * 2)
+    blank = ask(packages, [scripted("one", description=" ")]).first()
+    assert blank["status"] == "MALFORMED" and not blank["usable"] and ask(packages, []).count() == 0
+
+
+def test_quality_report_text(spark):
+    from cataloom.operators.report import quality_report
+    from cataloom.queries import QUERIES
+
+    text = quality_report(QUERIES["quality_report"](spark, SMALL))
+    assert "## Status & Summary\n- **target**: 50" in text and text.count("## ") == 8
 
 
 def test_recorded_search(spark):
