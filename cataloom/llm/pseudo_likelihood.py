@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from .resident import resident
 from .scratch import Scratch
 
-BUCKETS = 1 << 22
+BUCKETS = 1 << 20
 SIDE = 2
 HIDDEN = 32
 ROWS = (64, 1 << 16)
@@ -89,26 +88,29 @@ def corpus_counts(made: DataFrame) -> np.ndarray:
     return counts
 
 
-@dataclass
 class Vocabulary:
-    """For each bucket its row in the network and its share; for each row how many words it has in all."""
+    """For each bucket its row in the network (``of``) and its share of all words; for each row how many
+    words it has in all.  ``top``: the buckets that have the first rows to themselves."""
 
-    rows: int
-    of: np.ndarray
-    share: np.ndarray
-    weight: np.ndarray
+    def __init__(self, rows: int, top: np.ndarray, share: np.ndarray, weight: np.ndarray | None = None):
+        self.parts = rows, top, share, weight
+        self.rows, self.share, self.weight = rows, share, weight
+        own = rows * 3 // 4
+        self.of = np.arange(BUCKETS, dtype=np.int32)
+        self.of %= rows - own
+        self.of += own
+        self.of[top] = np.arange(len(top), dtype=np.int32)
 
     @staticmethod
     def of_counts(counts: np.ndarray) -> "Vocabulary":
         total = int(counts.sum())
         rows = int(np.clip(1 << max(0, round(np.log2(max(1, total)) / 2)), *ROWS))
-        own = rows * 3 // 4
-        of = (own + np.arange(BUCKETS) % (rows - own)).astype(np.int32)
         met = np.flatnonzero(counts)
-        top = met[np.lexsort((met, -counts[met]))[:own]]
-        of[top] = np.arange(len(top))
-        weight = np.bincount(of, weights=counts, minlength=rows)
-        return Vocabulary(rows, of, (counts / max(1, total)).astype(np.float32), weight)
+        top = met[np.lexsort((met, -counts[met]))[: rows * 3 // 4]].astype(np.int32)
+        made = Vocabulary(rows, top, (counts / max(1, total)).astype(np.float32))
+        weight = np.bincount(made.of, weights=counts, minlength=rows)
+        made.weight, made.parts = weight, (*made.parts[:3], weight)
+        return made
 
     def draw(self, at: np.ndarray) -> np.ndarray:
         """Rows at places from 0 to 1 of the corpus, laid out row by row."""
@@ -226,14 +228,14 @@ def _grouped(words: pd.Series) -> Iterator[tuple[int, int, list[np.ndarray]]]:
             at, held, n = i + 1, [], 0
 
 
-def train(made: DataFrame, network: Network, vocabulary: Vocabulary, n: int) -> Network:
-    """One pass over all places; ``n``: the rows of ``made`` (doc_id, words)."""
-    start, spark = network.flat(), made.sparkSession
-    sent = spark.sparkContext.broadcast((start, vocabulary))
+def train(made: DataFrame, network: Network, parts_sent, n: int) -> Network:
+    """One pass over all places; ``n``: the rows of ``made`` (doc_id, words); ``parts_sent``: a broadcast of
+    the vocabulary's parts.  The start of the network is made anew in each task."""
+    spark, rows, size = made.sparkSession, network.rows, len(network.flat())
     shards, parts = max(1, round(n / SHARD_DOCS)), int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start, voc = sent.value
+        start, voc = Network(rows).flat(), Vocabulary(*parts_sent.value)
         total, places, own, shard = np.zeros(len(start), dtype=np.int64), 0, None, None
         held: list[np.ndarray] = []
         words = 0
@@ -270,8 +272,8 @@ def train(made: DataFrame, network: Network, vocabulary: Vocabulary, n: int) ->
     moved = sorted_.select("shard", "words").mapInPandas(run, "at long, moved binary")
     found = {r["at"]: np.frombuffer(r["moved"]) for r in moved.groupBy("at").applyInPandas(add, "at long, moved binary").collect()}
     if found and found[-1][0]:
-        total = np.concatenate([found[i] for i in range(0, len(start), CHUNK)])
-        network.load(start + total / found[-1][0] / FIXED)
+        total = np.concatenate([found[i] for i in range(0, size, CHUNK)])
+        network.load(network.flat() + total / found[-1][0] / FIXED)
     return network
 
 
@@ -285,12 +287,13 @@ def pseudo_log_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "pseudo_likelihood")
     made = scratch.save(tokens(docs, id_col, text_col), "tokens")
     vocabulary = Vocabulary.of_counts(corpus_counts(made))
-    network = train(made, Network(vocabulary.rows), vocabulary, made.count())
-    # a number and a share for each bucket (34 MB at any size) and the network (45 MB at most)
-    sent = spark.sparkContext.broadcast((network.flat(), vocabulary))
+    # a share for each bucket (4 MB at any size), and later the network (42 MB at most)
+    parts_sent = spark.sparkContext.broadcast(vocabulary.parts)
+    network = train(made, Network(vocabulary.rows), parts_sent, made.count())
+    sent = spark.sparkContext.broadcast(network.flat())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        flat, voc = sent.value
+        flat, voc = sent.value, Vocabulary(*parts_sent.value)
         net = Network(voc.rows).load(flat)
         drawn = voc.draw((np.arange(DRAWN_TO_SCORE) + 0.5) / DRAWN_TO_SCORE)
         for b in batches:
