@@ -34,10 +34,13 @@ IDS = "array<struct<id:long,n:int>>"
 
 def neighbour_graph(x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
     """For each row the ``k`` rows of largest inner product (or all others, if fewer)."""
-    s = x @ x.T
-    np.fill_diagonal(s, -np.inf)
-    k = min(k, len(x) - 1)
-    return np.argpartition(-s, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(x), 0), dtype=np.int64)
+    k = max(0, min(k, len(x) - 1))
+    out = np.zeros((len(x), k), dtype=np.int64)
+    for at in range(0, len(x) if k else 0, BATCH):  # so many rows of products at a time are in memory
+        s = -(x[at : at + BATCH] @ x.T)
+        s[np.arange(len(s)), at + np.arange(len(s))] = np.inf
+        out[at : at + BATCH] = np.argpartition(s, k - 1, axis=1)[:, :k]
+    return out
 
 
 def _bisect(edges: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
@@ -139,14 +142,14 @@ def fit_index(sample: np.ndarray, n: int, k: int, recall: float = RECALL) -> tup
     router.fit(rest, balanced_partitions(neighbour_graph(rest), parts))
     home = router.logits(rest).argmax(axis=1)
     k = min(len(rest), max(1, round(k * len(rest) / n)))
-    near = np.argpartition(-(held @ rest.T), k - 1, axis=1)[:, :k]
+    near = np.concatenate([np.argpartition(-(held[i : i + BATCH] @ rest.T), k - 1, axis=1)[:, :k] for i in range(0, len(held), BATCH)])
     visited = np.argsort(-router.logits(held), axis=1)
     place = np.argsort(visited, axis=1)  # of each partition in the order of visits
     reached = np.sort(np.take_along_axis(place, home[near], axis=1).ravel())
     return router, int(reached[min(len(reached) - 1, math.ceil(recall * len(reached)))]) + 1
 
 
-def fitted(column: pd.Series, dims: int) -> np.ndarray:
+def fitted(column: pd.Series | list, dims: int) -> np.ndarray:
     """The vectors of a column cut or filled with zeros to ``dims``, as the router takes them."""
     out = np.zeros((len(column), dims))
     for i, v in enumerate(column):
@@ -172,11 +175,12 @@ def search(rows: DataFrame, every: int, k: int) -> DataFrame:
     held = scratch.save(distinct_vectors(rows, k), "vectors")
     asked = scratch.save(asking(rows, every), "queries")
     n, m = held.count(), asked.count()
-    found = held.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toPandas()["v"]
+    found = [r[0] for r in held.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()]
     if not n:
         return best(rows.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score")).limit(0), k)
     dims = max(map(len, found))
     router, visits = fit_index(fitted(found, dims), n, k)
+    del found
     parts = partitions_for(n)
     blocks, askers = blocks_for(2 * n, BLOCK * parts), blocks_for(m * visits, QUERY_BLOCK * parts)
 
