@@ -8,7 +8,7 @@ layer and o(w) the output vector of w, the word w has the probability
 
 the mean being over words x drawn by their shares (a fixed draw when scoring).  Words are rows of the
 network: the most frequent ones have rows of their own, the others share the rest by a hash; there are
-about as many rows as the square root of the corpus' words, so the network grows with the corpus.  A
+about half as many rows as the square root of the corpus' words, so the network grows with the corpus.  A
 document's score is the sum of log P over all its words.
 
 The network learns from every place of every document: documents are dealt by a hash to shards of
@@ -31,17 +31,17 @@ from .scratch import Scratch
 
 BUCKETS = 1 << 20
 SIDE = 2
-HIDDEN = 32
+HIDDEN = 24
 ROWS = (64, 1 << 16)
-DRAWN = 64
-DRAWN_TO_SCORE = 128
-BATCH = 512
+DRAWN = 32
+DRAWN_TO_SCORE = 64
+BATCH = 1024
 RATE = 0.1
 SHARD_DOCS = 8192
 GROUP_WORDS = 100_000
 CACHE = 400_000
-FIXED = 1 << 20
-CHUNK = 8192
+FIXED = 1 << 16
+CHUNK = 16_384
 OFFSETS = tuple(o for o in range(-SIDE, SIDE + 1) if o)
 
 
@@ -71,21 +71,36 @@ def tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return picked.mapInPandas(run, "doc_id long, words binary")
 
 
+def _cut(numbers: np.ndarray) -> pd.DataFrame:
+    """(at, numbers): whole numbers in pieces of ``CHUNK``, to be added up across tasks."""
+    cuts = range(0, len(numbers), CHUNK)
+    return pd.DataFrame({"at": list(cuts), "numbers": [numbers[i : i + CHUNK].tobytes() for i in cuts]})
+
+
+def _added(pieces: DataFrame, size: int) -> np.ndarray:
+    """The sum over all tasks of what ``_cut`` gave, ``size`` numbers; sums of whole numbers have no order."""
+
+    def add(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"at": [key[0]], "numbers": [sum(np.frombuffer(x, dtype=np.int64) for x in b["numbers"]).tobytes()]})
+
+    out = np.zeros(size, dtype=np.int64)
+    for r in pieces.groupBy("at").applyInPandas(add, "at long, numbers binary").collect():
+        piece = np.frombuffer(r["numbers"], dtype=np.int64)
+        out[r["at"] : r["at"] + len(piece)] = piece
+    return out
+
+
 def corpus_counts(made: DataFrame) -> np.ndarray:
-    """How often each bucket occurs in all of ``made`` (words).  At most ``BUCKETS`` numbers come to the driver."""
+    """How often each bucket occurs in all of ``made`` (words); ``BUCKETS`` numbers come to the driver."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(BUCKETS, dtype=np.int64)
         for b in batches:
             at, n = np.unique(np.frombuffer(b"".join(b["words"]), dtype="<i4"), return_counts=True)
             total[at] += n
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": at.astype(np.int32), "n": total[at]})
+        yield _cut(total)
 
-    found = made.select("words").mapInPandas(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(BUCKETS, dtype=np.int64)
-    counts[found["bucket"].to_numpy(np.int64)] = found["n"]
-    return counts
+    return _added(made.select("words").mapInPandas(run, "at long, numbers binary"), BUCKETS)
 
 
 class Vocabulary:
@@ -104,7 +119,7 @@ class Vocabulary:
     @staticmethod
     def of_counts(counts: np.ndarray) -> "Vocabulary":
         total = int(counts.sum())
-        rows = int(np.clip(1 << max(0, round(np.log2(max(1, total)) / 2)), *ROWS))
+        rows = int(np.clip(1 << max(0, round(np.log2(max(1, total)) / 2) - 1), *ROWS))
         met = np.flatnonzero(counts)
         top = met[np.lexsort((met, -counts[met]))[: rows * 3 // 4]].astype(np.int32)
         made = Vocabulary(rows, top, (counts / max(1, total)).astype(np.float32))
@@ -260,20 +275,13 @@ def train(made: DataFrame, network: Network, parts_sent, n: int) -> Network:
                     held, words = [], 0
         if own is not None:
             ended()
-            cuts = range(0, len(total), CHUNK)
-            yield pd.DataFrame({"at": [-1, *cuts], "moved": [np.array([places]).tobytes(), *(total[i : i + CHUNK].tobytes() for i in cuts)]})
-
-    def add(b: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, dtype=np.int64).astype(object) for x in b["moved"])
-        return pd.DataFrame({"at": [b["at"].iloc[0]], "moved": [total.astype(np.float64).tobytes()]})
+            yield _cut(np.append(total, places))
 
     dealt = made.withColumn("h", F.xxhash64("words", "doc_id")).withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
     sorted_ = dealt.repartition(parts, "shard").sortWithinPartitions("shard", "h", "doc_id")
-    moved = sorted_.select("shard", "words").mapInPandas(run, "at long, moved binary")
-    found = {r["at"]: np.frombuffer(r["moved"]) for r in moved.groupBy("at").applyInPandas(add, "at long, moved binary").collect()}
-    if found and found[-1][0]:
-        total = np.concatenate([found[i] for i in range(0, size, CHUNK)])
-        network.load(network.flat() + total / found[-1][0] / FIXED)
+    total = _added(sorted_.select("shard", "words").mapInPandas(run, "at long, numbers binary"), size + 1)
+    if total[-1]:
+        network.load(network.flat() + total[:-1] / total[-1] / FIXED)
     return network
 
 
