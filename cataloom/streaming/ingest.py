@@ -9,8 +9,8 @@ from ..operators.resolve import first_arrivals
 
 
 def new_rows(batch: DataFrame, known: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row of each key of the batch that the table does not have yet."""
-    return first_arrivals(batch, [key], [order]).join(known.select(key), key, "left_anti")
+    """The first row of each key of the batch that the table does not have yet, columns as in the batch."""
+    return first_arrivals(batch, [key], [order]).join(known.select(key), key, "left_anti").select(*batch.columns)
 
 
 def ingest(
