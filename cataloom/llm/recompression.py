@@ -35,6 +35,8 @@ LEVELS = 3
 GROUP_WORDS = 300_000
 CACHE = 400_000
 BROADCAST_KEYS = 500_000
+HOT = 200
+SALTS = 64
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -271,6 +273,19 @@ def _cut(window: int):
     return run
 
 
+def _with_key_of(rows: DataFrame, keys: DataFrame, by: list[str], spread: list[str]) -> DataFrame:
+    """The ``rows`` whose columns ``by`` are among ``keys`` (``by``, n: how many rows have it).  Keys of more
+    than one in ``HOT`` of all such rows, so at most that many, are dealt to ``SALTS`` groups by a hash of ``spread``."""
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    hot = [r[0] for r in keys.where(F.col("n") > total / HOT).select(by[0]).distinct().collect()]
+    if not hot:
+        return rows.join(keys.select(*by), by, "left_semi")
+    is_hot, one = F.col(by[0]).isin(hot), F.lit(0)
+    dealt = rows.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(one).cast("int"))
+    every = keys.select(*by, F.explode(F.when(is_hot, F.sequence(one, F.lit(SALTS - 1))).otherwise(F.array(one))).alias("salt"))
+    return dealt.join(every, [*by, "salt"], "left_semi").drop("salt")
+
+
 def text_key(text_col: str = "text") -> F.Column:
     """The MD5 of a text as 16 bytes; null counts as empty."""
     return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
@@ -302,24 +317,21 @@ def repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW, level
         rows.where(F.size("anchors") > 0).join(classes.select(F.col("cid").alias("rid")), "rid", "left_semi")
         .select(F.col("rid").alias("cid"), F.explode("anchors").alias("name"))
     )
-    shared = own.groupBy("name").count().where("count > 1").select("name")
+    shared = scratch.save(own.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     listed = scratch.save(
-        own.join(shared, "name", "left_semi").groupBy("cid").agg(F.collect_set("name").alias("names"))
+        _with_key_of(own, shared, ["name"], ["cid"]).groupBy("cid").agg(F.collect_set("name").alias("names"))
         .join(classes.select("key", "cid", "copies"), "cid"),
         "listed",
     )
-    scratch.drop("rows")
+    scratch.drop("rows", "shared")
     keys = listed.select("key", "cid")
     few = keys.count() <= BROADCAST_KEYS  # 24 bytes a key, so at most some 40 MB are broadcast
     found = texts.join(F.broadcast(keys) if few else keys, "key").groupBy("cid").agg(F.first("raw").alias("raw"))
     held = scratch.save(found.join(listed.select("cid", "copies", "names"), "cid"), "held")
     # every window whose anchor is shared, by its own words
     rolled = held.mapInPandas(_windows(window, levels), "w1 long, w2 long, cid long, start int, many boolean")
-    twice = (
-        rolled.groupBy("w1", "w2").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n"))
-        .where("n > 1").select("w1", "w2")
-    )
-    hit = rolled.where("not many").join(twice, ["w1", "w2"], "left_semi")
+    twice = scratch.save(rolled.groupBy("w1", "w2").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n")).where("n > 1"), "twice")
+    hit = _with_key_of(rolled.where("not many"), twice, ["w1", "w2"], ["cid", "start"])
     starts = hit.groupBy("cid").agg(F.collect_list("start").alias("starts"))
     cut = held.where("copies = 1").select("cid", "raw").join(starts, "cid").mapInPandas(
         _cut(window), "cid long, n_removed long, kept_sha256 string, kept string"

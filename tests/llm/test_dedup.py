@@ -283,6 +283,14 @@ def test_substrings_against_brute_force(spark, window, levels):
     assert [(r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got] == brute(texts, window)
 
 
+def test_hot_keys_are_dealt_out(spark):
+    rows = spark.createDataFrame([(7 if i % 3 else i, i) for i in range(900)], "name long, cid long")
+    keys = rows.groupBy("name").count().withColumnRenamed("count", "n").where("n > 1 or name = 30")
+    got = rc._with_key_of(rows, keys, ["name"], ["cid"])
+    assert sorted(map(tuple, got.collect())) == sorted([(7, i) for i in range(900) if i % 3] + [(30, 30)])
+    assert rc._with_key_of(rows, keys.limit(0), ["name"], ["cid"]).count() == 0
+
+
 def test_substrings_of_nothing(spark):
     assert rc.dedup_substrings(table(spark, [])).count() == 0
     kept = rc.without_repeats(table(spark, ["a b", None])).orderBy("doc_id").collect()
