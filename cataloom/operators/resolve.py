@@ -2,24 +2,26 @@
 
 A record is a duplicate of an earlier kept one by, in this order, its id, its repository, its host
 with a similar name, its name, or a fuzzy name in the same block.  Duplicates keep nothing, so
-matches do not chain.  Scoring names is the costly part and is distributed: equi joins on the block,
-a bound on lengths, then scores.  The decision itself depends on all decisions before and is one
-pass in arrival order over narrow rows, streamed through one task whose memory holds kept records
-only.
+matches do not chain.  A decision depends on earlier decisions, but only on those of records that
+share a key or a fuzzy name.  So keys and names are nodes of a graph, records link them, and every
+connected component is decided alone, in order of arrival, as a stream over narrow rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import first_filled
-from ..functions.similarity import could_reach, ratio_of, token_sort_ratio_arrow, token_sort_ratio_of
+from ..functions.similarity import ratio_of, sorted_tokens, token_sort_ratio_arrow, token_sort_ratio_of
 from ..functions.text import block_key
 from ..functions.url import extract_domain, normalize_url
+from .components import connected_components
+from .scratch import Scratch
 
 FUZZY = 88.0
 SURE = 95.0
@@ -30,16 +32,40 @@ RESULT = "ordinal long, duplicate_of string, match_method string, match_confiden
 
 def fuzzy_names(names: DataFrame, threshold: float = FUZZY) -> DataFrame:
     """(name, similar): for each distinct ``canonical_name`` the other names of its block that score
-    ``threshold`` or more, with their scores."""
-    own = names.select(F.col("canonical_name").alias("name")).where("name <> ''").distinct().withColumn("block", block_key(F.col("name")))
-    a, b = own.alias("a"), own.alias("b")
-    pairs = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.name") < F.col("b.name")) & could_reach(F.col("a.name"), F.col("b.name"), threshold))
-    scored = pairs.select(F.col("a.name").alias("x"), F.col("b.name").alias("y")).withColumn("score", token_sort_ratio_arrow(F.col("x"), F.col("y")))
-    good = scored.where(F.col("score") >= threshold)
+    ``threshold`` (above 0) or more, with their scores.
+
+    Two names can only reach it if their lengths differ by a factor of at most 200 / threshold - 1.
+    Classes of lengths have that width, so names meet those of their own class and the next to it.
+    """
+    width = math.log(200 / threshold - 1) * (1 + 1e-9) + 1e-9
+    own = names.select(F.col("canonical_name").alias("name")).where("name <> ''").distinct().withColumns({
+        "block": block_key(F.col("name")), "size": F.length(sorted_tokens(F.col("name"))),
+    }).withColumn("class", F.when(F.col("size") == 0, F.lit(-1)).otherwise(F.floor(F.log("size") / width)).cast("long"))
+    near = own.withColumn("class", F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1)))
+    a, b = own.alias("a"), near.alias("b")
+    reach = F.least("a.size", "b.size") * 200.0 >= (F.col("a.size") + F.col("b.size")) * threshold
+    met = (F.col("a.block") == F.col("b.block")) & (F.col("a.class") == F.col("b.class")) & (F.col("a.name") < F.col("b.name")) & reach
+    pairs = a.join(b, met).select(F.col("a.name").alias("x"), F.col("b.name").alias("y"))
+    good = pairs.withColumn("score", token_sort_ratio_arrow(F.col("x"), F.col("y"))).where(F.col("score") >= threshold)
     both = good.unionAll(good.select(F.col("y").alias("x"), F.col("x").alias("y"), "score"))
     return both.groupBy(F.col("x").alias("name")).agg(F.sort_array(F.collect_list(F.struct(F.col("y").alias("name"), "score"))).alias("similar"))
 
 
+def _node(kind: str, value: Column) -> Column:
+    """A key as a node.  Keys that chance to share a hash share a component, which changes no decision."""
+    return F.xxhash64(F.lit(kind), value)
+
+
+def with_component(rows: DataFrame, similar: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows`` with ``root``: equal for records that are linked by ids, repositories, hosts, names or
+    fuzzy names, over any number of steps.  Records without any link have their own id's node."""
+    keys = [F.when(F.col(c) != "", _node(c, F.col(c))) for c in ("repo", "domain", "canonical_name")]
+    held = rows.select(_node("id", F.col("id")).alias("u"), F.explode(F.array_compact(F.array(*keys))).alias("v"))
+    alike = similar.select(_node("canonical_name", F.col("name")).alias("u"), F.explode(F.transform("similar", lambda s: _node("canonical_name", s["name"]))).alias("v"))
+    roots = connected_components(held.unionAll(alike), scratch)
+    return rows.withColumn("node", _node("id", F.col("id"))).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node")
+
+
 class Kept:
     """What is kept so far, and the decision for the next record."""
 
@@ -74,7 +100,7 @@ class Kept:
         if name and name in self.names:
             return self.names[name], "canonical_name_exact_match", 1.0
         scores = {s["name"]: s["score"] for s in (r.similar if r.similar is not None else ())}
-        for other in sorted((o for n in scores for o in self.by_name.get(n, ())), key=lambda o: o.ordinal):
+        for other in sorted((o for n in scores for o in self.by_name.get(n, ())), key=lambda o: (not o.is_baseline, o.ordinal)):
             score = scores[other.canonical_name]
             both = r.company_name and other.company_name
             if score >= SURE or (both and ratio_of(r.company_name.lower(), other.company_name.lower()) >= SAME_COMPANY):
@@ -83,10 +109,13 @@ class Kept:
 
 
 def _decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    kept = Kept()
+    """Rows by component, in each the baseline and then the records in order of arrival."""
+    kept, root = Kept(), None
     for b in batches:
         out = []
         for r in b.astype(object).where(b.notna(), None).itertuples(index=False):
+            if r.root != root:
+                kept, root = Kept(), r.root
             found = None if r.is_baseline else kept.match(r)
             if found is None:
                 kept.add(r)
@@ -107,17 +136,20 @@ def resolve(records: DataFrame, baseline: DataFrame | None = None, threshold: fl
     columns = ["ordinal", "id", "domain", "canonical_name", "company_name", "repo", "is_baseline"]
     rows = records.withColumns({"repo": F.when(F.col("github_repo_url") != "", normalize_url(F.col("github_repo_url"))), "is_baseline": F.lit(False)}).select(*columns)
     if baseline is not None:
-        place = F.row_number().over(Window.orderBy("ordinal")) - F.lit(1_000_000_000)
         anchors = baseline.where(F.col("id") != "").withColumns({
-            "ordinal": place.cast("long"), "is_baseline": F.lit(True),
+            "is_baseline": F.lit(True),
             "repo": F.when(F.col("github_repo_url") != "", normalize_url(F.col("github_repo_url"))),
             "domain": F.coalesce(first_filled(F.col("domain")), extract_domain(first_filled(F.col("official_url"), F.col("url")))),
             "canonical_name": F.coalesce(first_filled(F.col("canonical_name")), F.lower(F.trim("name"))),
         }).select(*columns)
         rows = anchors.unionByName(rows)
-    similar = fuzzy_names(rows, threshold)
-    joined = rows.join(similar, rows["canonical_name"] == similar["name"], "left").drop("name")
-    decided = joined.repartition(1).sortWithinPartitions("ordinal").mapInPandas(_decide, RESULT)
+    scratch = Scratch(records.sparkSession, "resolve")
+    rows = scratch.save(rows, "rows")
+    similar = scratch.save(fuzzy_names(rows, threshold), "similar")
+    placed = with_component(rows, similar, scratch)
+    joined = placed.join(similar, placed["canonical_name"] == similar["name"], "left").drop("name")
+    order = ["root", F.desc("is_baseline"), "ordinal"]
+    decided = joined.repartition("root").sortWithinPartitions(*order).mapInPandas(_decide, RESULT)
     return records.join(decided, "ordinal")
 
 
