@@ -40,12 +40,6 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
     return ratio(sorted_tokens(a), sorted_tokens(b))
 
 
-def could_reach(a: Column, b: Column, threshold: float) -> Column:
-    """False where the lengths alone keep the ratio of sorted tokens below ``threshold``."""
-    la, lb = F.length(sorted_tokens(a)), F.length(sorted_tokens(b))
-    return (la + lb == 0) | (F.least(la, lb) * 200.0 >= threshold * (la + lb))
-
-
 def subsequence_length(a: str, b: str) -> int:
     """The same length for two Python strings, with one big-integer step a character."""
     places: dict[str, int] = {}

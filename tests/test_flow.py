@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from cataloom.functions.similarity import ratio_of, token_sort_ratio_of
 from cataloom.operators.integrity import file_facts, read_back_differences, verify_manifest
-from cataloom.operators.resolve import resolve
+from cataloom.operators.resolve import fuzzy_names, resolve, with_component
+from cataloom.operators.scratch import Scratch
 from cataloom.plans.catalogue import expansion, ingest
 from cataloom.queries import candidates
 from cataloom.sources import files, search, sinks
@@ -57,6 +58,34 @@ def test_resolution_is_the_sequential_one(spark, seed):
     assert got == sequential(rows)
 
 
+@pytest.mark.parametrize("threshold", [60.0, 88.0, 100.0])
+def test_fuzzy_names_lose_no_pair(spark, threshold):
+    """Lengths at and around the borders of the classes, blanks alone, and two blocks."""
+    rng = random.Random(5)
+    names = {"abc" + "x" * n for n in range(40)} | {"   ", "    ", "abc b a", "abc a b", "zzz"}
+    names |= {"abc" + "".join(rng.choice("xy ") for _ in range(rng.randint(0, 20))) for _ in range(60)}
+    want = {(a, b) for a in names for b in names if a != b and a[:3] == b[:3] and token_sort_ratio_of(a, b) >= threshold}
+    rows = spark.createDataFrame([(n,) for n in names], "canonical_name string")
+    got = [(r["name"], s["name"]) for r in fuzzy_names(rows, threshold).collect() for s in r["similar"]]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_components_follow_links_only(spark):
+    """Linked over a shared host and a fuzzy name, by a repeated id, by null ids, and not at all."""
+    rows = spark.createDataFrame(
+        [(0, "a", "h.ai", "tool one", None), (1, "b", "h.ai", "other", None), (2, "c", None, "tool ones", None),
+         (3, "d", "", "", ""), (4, "e", None, None, None), (5, "e", None, None, None), (6, None, None, None, None), (7, None, "n.ai", None, None)],
+        "ordinal long, id string, domain string, canonical_name string, repo string",
+    )
+    root = {r["ordinal"]: r["root"] for r in with_component(rows, fuzzy_names(rows), Scratch(spark, "test")).collect()}
+    groups = {}
+    for ordinal, r in root.items():
+        groups.setdefault(r, set()).add(ordinal)
+    assert sorted(map(sorted, groups.values())) == [[0, 1, 2], [3], [4, 5], [6, 7]]
+    empty = spark.createDataFrame([], SCHEMA)
+    assert resolve(empty).count() == 0
+
+
 def test_baseline_comes_first(spark):
     base = spark.createDataFrame([(7, "b1", None, None, None, "https://github.com/x", "Beta Tool", "https://beta.ai", None)], SCHEMA + ", name string, official_url string, url string")
     new = spark.createDataFrame([(0, "n1", "beta.ai", "beta tools", None, None), (1, "n2", None, "other", None, "https://www.github.com/x/")], SCHEMA)
