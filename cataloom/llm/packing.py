@@ -27,8 +27,8 @@ _NEVER = np.int64(1) << 60
 class WordIds:
     """Token ids of runs between white space, for a tokenizer that splits at white space first.
 
-    Such a tokenizer gives a run the same ids alone as inside a text, so each distinct run is
-    encoded once: new runs are sent in lines, parted by a private-use character that is a token
+    Such a tokenizer gives a run the same ids alone as inside a text, added tokens in it included (they
+    take no white space around them), so each distinct run is encoded once: new runs are sent in lines, parted by a private-use character that is a token
     sequence of its own.  The tables hold ``CACHE`` runs at most (or those of one slice); when they are
     full, runs that were met only once are forgotten.
     """
@@ -38,7 +38,6 @@ class WordIds:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.mark = np.array(self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids, dtype=np.uint32)
         self._reset()
 

@@ -43,7 +43,6 @@ def test_round_trip(spark, coders):
 
 def test_packing(spark):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     rows = spark.createDataFrame([(i if i else None, t, 1) for i, t in enumerate(TEXTS)], "doc_id long, text string, piece int")
     got = packing.pack_documents(rows).collect()
     by_doc = {}
@@ -116,3 +115,16 @@ def test_sum_of_squares_fills_bins():
     assert filled.max() <= 2048 and (filled > 0).all()
     assert len(filled) <= 1.03 * max(np.ceil(sizes.sum() / 2048), (sizes > 1024).sum())
     assert len(packing.pack(np.array([], dtype=np.int64))) == 0
+
+
+def test_ids_are_the_plain_library_ones():
+    import pyarrow as pa
+
+    own, library = packing.WordIds(public_tokenizers.path("word_bpe_49k.json")), Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext", "|>", " ", "\n", "a", "Word's", "é", "12", "<|", "\u0301", "漢字", "\ue000", "\u00a0", "\x1c"]
+    texts = ["<|endoftext|> a", "a<|endoftext|>b<|startoftext|><|endoftext|>", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(1500))]
+    ids, counts = own.encode(pa.array(texts))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert 49407 in want[0] and want[0][0] == 49407
