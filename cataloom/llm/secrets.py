@@ -6,6 +6,7 @@ expression a kind, and only the rest pay for positions and windows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -40,11 +41,12 @@ CLASSES = (
 #: What a candidate string is: a long run of these characters with a digit and a letter.
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
 #: Harmless high-entropy strings: placeholders, alphabets in order, UUIDs, dates, words joined by marks.
+#: Repeated groups are possessive: they run as loops, whatever the length, and never on Java's stack.
 ALLOWED = (
     r"(?i)example|sample|placeholder|dummy|changeme",
     r"(?i)0123456789|123456789|abcdefghij|qwertyuiop",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^[A-Z]?[a-z]*(?:[-_/=+][A-Z]?[a-z]*|[-_/=+][0-9]{1,4})*$",
+    r"^[A-Z]?[a-z]*+(?:[-_/=+](?:[0-9]{1,4}+|[A-Z]?[a-z]*+))*+$",
 )
 GROUP = 256
 
@@ -133,7 +135,10 @@ def is_random(candidate: Column) -> Column:
     chars = F.split(candidate, "")
     reached = F.lit(False)
     for c in reversed(CLASSES):
-        reached = F.when(candidate.rlike(c.pattern), F.coalesce(most_entropy(chars, c.window) >= c.bits, F.lit(False))).otherwise(reached)
+        # a window of n different characters has log2(n) bits at most, so most long runs need no fold
+        enough = F.size(F.array_distinct(chars)) >= math.ceil(2**c.bits)
+        found = F.when(enough, F.coalesce(most_entropy(chars, c.window) >= c.bits, F.lit(False))).otherwise(F.lit(False))
+        reached = F.when(candidate.rlike(c.pattern), found).otherwise(reached)
     mixed = candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]")
     allowed = F.lit(False)
     for pattern in ALLOWED:

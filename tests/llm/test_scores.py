@@ -35,6 +35,62 @@ def test_secrets(spark):
     assert clean[5] == "[SECRET] and " * 300 and clean[1] is None and clean[10] == SECRETS[10] and "AKIA" not in clean[3]
 
 
+def entropy_spans(text):
+    """The spans that the method adds, by their definition."""
+    base, out = base_spans(text), []
+    for m in re.finditer("[A-Za-z0-9+/=_-]{20,}", text or ""):
+        c = m[0]
+        if not (re.search("[0-9]", c) and re.search("[A-Za-z]", c)):
+            continue
+        if re.search("example|sample|placeholder|dummy|changeme|0123456789|123456789|abcdefghij|qwertyuiop", c, re.I):
+            continue
+        if re.fullmatch("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", c):
+            continue
+        if re.fullmatch("[A-Z]?[a-z]*(?:[-_/=+][A-Z]?[a-z]*|[-_/=+][0-9]{1,4})*", c):
+            continue
+        w, bits = (16, 3.0) if re.fullmatch("[0-9A-Fa-f]+", c) else (20, 3.75) if re.fullmatch("[A-Za-z0-9]+", c) else (20, 3.85)
+        best = max(-sum(k / w * np.log2(k / w) for k in map(c[i : i + w].count, set(c[i : i + w]))) for i in range(len(c) - w + 1))
+        if best >= bits - 1e-12 and not any(a <= m.start() and e >= m.end() for a, _, e in base):
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def test_spans_and_redaction_against_brute_force(spark):
+    rng = random.Random(12)
+    parts = ["password", "Token", "api_key", "=", ":", '"', " ", "\n", "é🙂", "AKIA", "ABCD1234EFGH56", "deadbeef01", "0f9e8d7c6b5a4", "Zx81kQ0vLm3P9sT7uWy2", "-", "_", "/a-b", "2024-01", "Word", "example", "aaaaaaaaaa1", "q9Z+x7"]
+    texts = SECRETS + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, clean = ({r["doc_id"]: r for r in f(rows).collect()} for f in (secrets.scan_secrets, secrets.redact_secrets))
+    added = 0
+    for i, t in enumerate(texts):
+        spans = sorted(base_spans(t) + (more := entropy_spans(t)))
+        added += len(more)
+        assert got[i]["spans"] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans), t
+        merged = []
+        for a, _, b in spans:
+            if merged and a < merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        want = t
+        for a, b in reversed(merged):
+            want = want[:a] + "[SECRET]" + want[b:]
+        assert clean[i]["text"] == want
+    assert added > 100
+
+
+def test_long_runs_of_every_character(spark):
+    """Runs of a million characters: no pattern may recurse, and the JVM lives on."""
+    n, marks = 1_000_000, "+/=_-.:'\" "
+    texts = [c * n for c in marks + "aZ0f"] + [f"x {c * n}v2 y" for c in marks] + ["-1" * (n // 2), "=a" * (n // 2), "_A" * (n // 2) + "7", "token" + " " * n + "=", "token=" + "a" * n, "AKIA" + "B" * n, "0f" * (n // 2)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r for r in secrets.scan_secrets(rows).collect()}
+    for i, t in enumerate(texts):
+        spans = base_spans(t)
+        assert [got[i][k] for k in ("n_assign", "n_access", "n_hex")] == [sum(s[1] == k for s in spans) for k in range(3)]
+    assert secrets.redact_secrets(rows).where("length(text) > 0").count() == len(texts)
+
+
 def test_incremental_entropy(spark):
     from pyspark.sql import functions as F
 
