@@ -12,6 +12,7 @@ from .secrets import op5_secret_scans
 from .simhash import op1_simhash_vptree
 from .topk import op10_exact_topk
 from .toxicity import op9_toxicity_ftrl
+from .trie import op11_conversation_trie
 
 QUERIES = {
     "op1_simhash_vptree": op1_simhash_vptree,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_pseudo_likelihood": op8_pseudo_likelihood,
     "op9_toxicity_ftrl": op9_toxicity_ftrl,
     "op10_exact_topk": op10_exact_topk,
+    "op11_conversation_trie": op11_conversation_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -44,4 +46,17 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_z
   FROM q JOIN v c ON q.vec_id <> c.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_conversation_trie": """
+WITH bits AS (SELECT conv_id, list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))) AS b
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+take AS (SELECT conv_id, xor(list_reduce(list_transform(b, lambda x: CAST(x AS BIGINT)), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 9 AS h FROM bits),
+own AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, '')) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+made AS (SELECT o.conv_id, list_concat(coalesce(p.t, [])[1:h], o.t[h + 1:]) AS t FROM own o JOIN take USING (conv_id) LEFT JOIN own p ON p.conv_id = o.conv_id - o.conv_id % 5),
+held AS (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS depth FROM made),
+nodes AS (SELECT t[1:depth] AS k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = len(t)), '')) AS ends_sha256 FROM held GROUP BY ALL),
+linked AS (SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.k = n.k[1:n.depth - 1]),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL),
+own_sums AS (SELECT l.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(k[depth].text) END AS saved FROM linked l LEFT JOIN kids USING (conv_id, depth)),
+up AS (SELECT k[1:e] AS k, e AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(range(0, depth + 1)) AS e FROM own_sums) GROUP BY ALL)
+SELECT conv_id, o.depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256 FROM own_sums o JOIN up USING (k, depth)""",
 }

@@ -186,10 +186,12 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: i
     """The rows of ``docs`` whose text scores below 0.5, all columns as they are, whatever their names.
 
     Null and empty texts score the bias and very long ones are scored whole; a null doc_id stays or goes
-    by its text; repeated rows stay or go together; with no labels every score is 0.5 and every row goes; an
-    empty table gives an empty result.
+    by its text; repeated rows stay or go together; with no labels to learn from nothing is rejected and every
+    row stays; an empty table gives an empty result.
     """
     weights, bias = fit(training_rows(docs, labels, sample=sample), bits)
+    if bias == 0 and not weights.any():  # nothing was learnt
+        return docs
     return docs.where(score_column(docs.sparkSession, weights, bias, F.col("text")) < 0.5)
 
 
