@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .ann import op4_learned_partitions
 from .byte_bpe import op6_byte_bpe
+from .collocations import op12_phrase_collocations
 from .packing import op2_best_fit_packing
 from .pseudo_likelihood import op8_pseudo_likelihood
 from .quality import op3_quality_cotraining
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_toxicity_ftrl": op9_toxicity_ftrl,
     "op10_exact_topk": op10_exact_topk,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_phrase_collocations": op12_phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -59,4 +61,23 @@ kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_chi
 own_sums AS (SELECT l.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(k[depth].text) END AS saved FROM linked l LEFT JOIN kids USING (conv_id, depth)),
 up AS (SELECT k[1:e] AS k, e AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(range(0, depth + 1)) AS e FROM own_sums) GROUP BY ALL)
 SELECT conv_id, o.depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256 FROM own_sums o JOIN up USING (k, depth)""",
+    "op12_phrase_collocations": r"""
+WITH t AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+grams AS (SELECT lang, w, i, unnest([1, 2, 3]) AS k FROM places),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM grams WHERE i + k - 1 <= len(w) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS v FROM f WHERE k > 1 AND f >= 10),
+parts AS (SELECT c.*, unnest(range(1, size)) AS k FROM c),
+split AS (SELECT *, array_to_string(v[1:k], ' ') AS lp, array_to_string(v[k + 1:], ' ') AS rp FROM parts),
+cuts AS (SELECT s.*, l.f AS l, r.f AS r, CAST(1000000 AS HUGEINT) * a * a // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM split s JOIN f l ON l.lang = s.lang AND l.phrase = s.lp JOIN f r ON r.lang = s.lang AND r.phrase = s.rp),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner2 AS (SELECT lang, a, v, unnest([1, 2]) AS j FROM c WHERE size = 3),
+three AS (SELECT lang, array_to_string(v[j:j + 1], ' ') AS phrase, max(a) AS longer FROM inner2 GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN three USING (lang, phrase) WHERE size = 3 OR longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
 }
