@@ -14,6 +14,7 @@ from .simhash import op1_simhash_vptree
 from .topk import op10_exact_topk
 from .toxicity import op9_toxicity_ftrl
 from .trie import op11_conversation_trie
+from .warc import op13_warc_zstd
 
 QUERIES = {
     "op1_simhash_vptree": op1_simhash_vptree,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_exact_topk": op10_exact_topk,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_warc_zstd": op13_warc_zstd,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -80,4 +82,10 @@ three AS (SELECT lang, array_to_string(v[j:j + 1], ' ') AS phrase, max(a) AS lon
 kept AS (SELECT b.* FROM best b LEFT JOIN three USING (lang, phrase) WHERE size = 3 OR longer IS NULL OR 100 * longer < 50 * a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
 FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
+    "op13_warc_zstd": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (SELECT *, list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  (((strpos('0123456789abcdef', hex[5 * j // 4 + 1]) - 1) * 16 + strpos('0123456789abcdef', hex[5 * j // 4 + 2]) - 1) >> CAST(3 - 5 * j % 4 AS INTEGER)) % 32 + 1, 1)) AS letters, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, array_to_string(letters, '') AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> newest THEN newest END AS refers_to FROM b""",
 }
