@@ -115,7 +115,8 @@ def _(spark, d):
         F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("query"), "page"
     ).agg(F.collect_list(item).alias("items")).withColumn("status", F.lit(200))
     scan.record(pages, f"{path}/pages")
-    settings = scan.json.dumps({"sources": {"github": {"per_page": size, "max_pages": 4, "queries": [{"query": f"nation {i}", "label": f"n{i}"} for i in range(25)]}}})
+    most = pages.agg(F.max("page")).first()[0] or 1
+    settings = scan.json.dumps({"sources": {"github": {"per_page": size, "max_pages": most, "queries": [{"query": f"nation {i}", "label": f"n{i}"} for i in range(25)]}}})
     done = pages.where("query in ('n3', 'n5')").select(F.lit("web").alias("source"), "query", F.lit(1).alias("page"), F.lit(size).alias("items"), (F.col("query") == "n3").alias("completed"))
     scan.append_progress(done, f"{path}/progress")
     read = scan.scan(spark, f"{path}/pages", settings, spark.read.parquet(f"{path}/progress"), "web")

@@ -7,14 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import identity, text, url
 from .functions import lexicon as lex
 from .functions.html import title_native
 from .functions.rules import is_web, words
-from .functions.similarity import token_sort_ratio
+from .functions.similarity import sorted_tokens, token_sort_ratio
 from .operators.audit import audit
 from .operators.classify import categories_by_join, classify
 from .operators.enrich import asked_responses, enrich, evidence_package, first_usable, judged_responses, provider_metrics
@@ -22,12 +22,15 @@ from .operators.gate import validate
 from .operators.grounding import description_flag, grounding_reason
 from .operators.integrity import manifest_facts, package_checks, read_back_differences, record_signatures, signature_changes
 from .operators.qualify import QualifyRules, qualify, rule_changes
+from .operators.ranges import with_latest
 from .operators.report import (
     category_counts, counts_by, expansion_rates, first_accepted, flag_counts, host_collisions, numeric_summary, reason_of, relationships,
     top_reasons,
 )
 from .operators.resolve import first_arrivals, resolve, similar_on_host
+from .operators.scratch import Scratch
 from .operators.shape import canonical, clean, extract, normalize, split_official_url, tagged_union
+from .operators.similar import similar_pairs
 from .operators.verify import choose_logo, parsed_pages, verify_website, with_pages
 from .sources.sinks import csv_rows, mapping_rows, sheet_rows
 from .streaming.ingest import new_rows
@@ -231,6 +234,46 @@ def _(spark, d):
     return pairs.select(F.col("a.name").alias("x"), F.col("b.name").alias("y"), F.round(token_sort_ratio(F.col("a.name"), F.col("b.name")), 4).alias("score"))
 
 
+def _lcs(p: str, q: str) -> str:
+    """The length of the longest common subsequence in SQL, row by row of its table."""
+    rows = f"""list_reduce(
+    list_prepend(list_transform(range(len({q}) + 1), lambda i: 0), list_transform(range(1, len({p}) + 1), lambda i: [i])),
+    lambda above, c: list_reduce(list_prepend([0], list_transform(range(1, len({q}) + 1), lambda j: [j])),
+      lambda made, j: list_append(made, CASE WHEN substr({q}, CAST(j[1] AS INT), 1) = substr({p}, CAST(c[1] AS INT), 1) THEN above[CAST(j[1] AS INT)] + 1
+        ELSE greatest(above[CAST(j[1] AS INT) + 1], made[CAST(j[1] AS INT)]) END)))"""
+    return f"{rows}[len({q}) + 1]"
+
+
+def _score(p: str, q: str) -> str:
+    return f"CASE WHEN {p} = {q} THEN 100.0 WHEN {p} = '' OR {q} = '' THEN 0.0 ELSE {_lcs(p, q)} * 200.0 / (len({p}) + len({q})) END"
+
+
+def _tokens(c: str) -> str:
+    return f"array_to_string(list_sort(list_filter(string_split_regex({c}, '\\s+'), lambda x: x <> '')), ' ')"
+
+
+# a pair that reaches a threshold t differs by (1 - t) of both lengths at most, by any measure of edits
+@query("similar_parts", f"""
+WITH n AS (SELECT DISTINCT substr(p_name, 1, 3) AS block, {_tokens('p_name')} AS s FROM part),
+pairs AS (SELECT a.block, a.s AS x, b.s AS y FROM n a JOIN n b ON a.block = b.block AND a.s < b.s AND levenshtein(a.s, b.s) <= 0.4 * (len(a.s) + len(b.s)) + 0.001),
+scored AS (SELECT *, {_score('x', 'y')} AS score FROM pairs)
+SELECT block, x, y, round(score, 4) AS score FROM scored WHERE score >= 60""")
+def _(spark, d):
+    names = table(spark, d, "part").select(text.block_key(F.col("p_name")).alias("block"), sorted_tokens(F.col("p_name")).alias("s"))
+    return similar_pairs(names, 60.0).select("block", "x", "y", F.round("score", 4).alias("score"))
+
+
+@query("similar_names", CANDIDATES + f"""
+, n AS (SELECT DISTINCT {_tokens('lower(name)')} AS s FROM cand),
+pairs AS (SELECT a.s AS x, b.s AS y FROM n a JOIN n b ON a.s < b.s AND levenshtein(a.s, b.s) <= 0.35 * (len(a.s) + len(b.s)) + 0.001),
+scored AS (SELECT *, {_score('x', 'y')} AS score FROM pairs)
+SELECT x, y, round(score, 4) AS score FROM scored WHERE score >= 65""")
+def _(spark, d):
+    """All names in one block."""
+    names = candidates(spark, d).select(F.lit("").alias("block"), sorted_tokens(F.lower("name")).alias("s"))
+    return similar_pairs(names, 65.0).select("x", "y", F.round("score", 4).alias("score"))
+
+
 @query("page_title", "SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title FROM pages")
 def _(spark, d):
     return table(spark, d, "pages").select("page_id", title_native(F.col("html")).alias("title"))
@@ -627,7 +670,11 @@ def _(spark, d):
     return first_arrivals(hashed, ["digest"], ["doc_id"]).select("doc_id", "lang")
 
 
-@query("domain_similarity_join")
+@query("domain_similarity_join", CANDIDATES + NORMALIZED + f"""
+, h AS (SELECT ordinal, lower(coalesce(cname, '')) AS name, lag(ordinal) OVER own AS before, lag(lower(coalesce(cname, ''))) OVER own AS theirs FROM norm WINDOW own AS (PARTITION BY domain ORDER BY ordinal)),
+t AS (SELECT *, {_tokens('name')} AS p, {_tokens('theirs')} AS q FROM h WHERE before IS NOT NULL),
+scored AS (SELECT *, {_score('p', 'q')} AS score FROM t)
+SELECT ordinal, before, round(score, 4) AS score, score >= 70 OR contains(name, theirs) OR contains(theirs, name) AS matched FROM scored""")
 def _(spark, d):
     return similar_on_host(_normalized(spark, d).select("ordinal", "domain", "canonical_name"))
 
@@ -802,8 +849,9 @@ def _(spark, d):
 
 @query("latest_on_host", f"WITH n AS (SELECT page_id, {_host('url')} AS domain FROM pages) SELECT page_id, domain, lag(page_id) OVER (PARTITION BY domain ORDER BY page_id) AS before FROM n")
 def _(spark, d):
-    own = Window.partitionBy("domain").orderBy("page_id")
-    return table(spark, d, "pages").select("page_id", url.extract_domain(F.col("url")).alias("domain")).withColumn("before", F.lag("page_id").over(own))
+    pages = table(spark, d, "pages").select("page_id", F.coalesce(url.extract_domain(F.col("url")), F.lit("")).alias("host"))
+    found = with_latest(pages, "host", "page_id", [], Scratch(spark, "latest"))
+    return found.select("page_id", F.when(F.col("host") != "", F.col("host")).alias("domain"), F.col("before_page_id").alias("before"))
 
 
 @query("claims_in_documents", "SELECT doc_id, regexp_matches(lower(text), '\\$\\d+') AS priced FROM documents")

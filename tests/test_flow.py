@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cataloom.functions.similarity import ratio_of, token_sort_ratio_of
 from cataloom.operators.integrity import file_facts, read_back_differences, verify_manifest
-from cataloom.operators.resolve import fuzzy_names, resolve, with_component
+from cataloom.operators.resolve import fuzzy_names, resolve
 from cataloom.operators.scratch import Scratch
 from cataloom.plans.catalogue import expansion, ingest
 from cataloom.queries import candidates
@@ -58,6 +58,62 @@ def test_resolution_is_the_sequential_one(spark, seed):
     assert got == sequential(rows)
 
 
+def test_a_thousand_resolutions(spark):
+    """A thousand random inputs that share no key, in one table, each against its definition."""
+    rng, rows = random.Random(9), []
+    words = ["alpha", "alphas", "studio", "tool", "kit", "kits", "ab", "b"]
+    for case in range(1000):
+        for _ in range(rng.randint(1, 14)):
+            name = rng.choice(["", f"{case:03d}"]) and f"{case:03d}" + " ".join(rng.choice(words) for _ in range(rng.randint(1, 3)))
+            rows.append((len(rows), f"{case}-{rng.randint(0, 30)}", rng.choice([None, f"a{case}.ai", f"b{case}.ai"]), name, rng.choice([None, "Acme", "Acmee", "Other"]), rng.choice([None, None, None, f"https://github.com/c{case}/r{rng.randint(0, 9)}"])))
+    want = {}
+    for case in range(1000):
+        want |= sequential([r for r in rows if r[1].startswith(f"{case}-")])
+    rng.shuffle(rows)
+    got = {r["ordinal"]: (r["duplicate_of"], r["match_method"]) for r in resolve(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    assert got == want and len({m for _, m in got.values()}) == 6
+
+
+def test_one_host_for_all(spark):
+    """No range holds more than a fiftieth of a host that all rows share, and the values are the window's."""
+    from cataloom.operators.ranges import with_latest
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        rows = spark.range(20_000).select(F.lit("h").alias("host"), (F.col("id") * 7919 % 20_000).alias("at"), F.col("id").cast("string").alias("v"), (F.col("id") % 3 == 0).alias("good"))
+        rows = rows.unionAll(spark.range(5000).select((F.col("id") % 700).cast("string"), F.col("id"), F.lit(None).cast("string"), F.col("id") % 4 > 2))
+        for flag in (None, "good"):
+            scratch = Scratch(spark, "test")
+            got = {(r["host"], r["at"]): (r["before_at"], r["before_v"]) for r in with_latest(rows, "host", "at", ["v"], scratch, "l", flag).collect()}
+            seen, want = {}, {}
+            for r in sorted(rows.collect(), key=lambda r: (r["host"], r["at"])):
+                want[r["host"], r["at"]] = seen.get(r["host"], (None, None))
+                if flag is None or r["good"]:
+                    seen[r["host"]] = (r["at"], r["v"])
+            assert got == want
+            sizes = [r["count"] for r in spark.read.parquet(f"{scratch.root}/l").groupBy("_part").count().collect()]
+            assert len(sizes) == 100 and max(sizes) <= 500
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_few_pairs_are_compared(spark, seed):
+    """All names in one block: the index loses no pair and compares few of all."""
+    from cataloom.operators.similar import candidate_pairs, similar_pairs
+
+    rng = random.Random(seed)
+    names = {"the " + "".join(rng.choice("abcdefghij ") for _ in range(rng.randint(0, 24))) for _ in range(400)}
+    names |= {n[:i] + rng.choice("xyz") + n[i:] for n in list(names)[:150] for i in (5, len(n))}
+    rows = spark.createDataFrame([("the", n) for n in names] + [("the", None), (None, "x"), ("the", ""), ("one", "alone")], "block string, s string")
+    for threshold in (88.0, 95.0):
+        want = {(a, b) for a in names for b in names if a < b and ratio_of(a, b) >= threshold}
+        found = similar_pairs(rows, threshold).collect()
+        assert {(r["x"], r["y"]) for r in found} == want and len(found) == len(want)
+        assert candidate_pairs(rows.where("block is not null and s is not null").distinct(), threshold).count() < len(names) ** 2 / 40
+
+
 @pytest.mark.parametrize("threshold", [60.0, 88.0, 100.0])
 def test_fuzzy_names_lose_no_pair(spark, threshold):
     """Lengths at and around the borders of the classes, blanks alone, and two blocks."""
@@ -70,22 +126,6 @@ def test_fuzzy_names_lose_no_pair(spark, threshold):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_components_follow_links_only(spark):
-    """Linked over a shared host and a fuzzy name, by a repeated id, by null ids, and not at all."""
-    rows = spark.createDataFrame(
-        [(0, "a", "h.ai", "tool one", None), (1, "b", "h.ai", "other", None), (2, "c", None, "tool ones", None),
-         (3, "d", "", "", ""), (4, "e", None, None, None), (5, "e", None, None, None), (6, None, None, None, None), (7, None, "n.ai", None, None)],
-        "ordinal long, id string, domain string, canonical_name string, repo string",
-    )
-    root = {r["ordinal"]: r["root"] for r in with_component(rows, fuzzy_names(rows), Scratch(spark, "test")).collect()}
-    groups = {}
-    for ordinal, r in root.items():
-        groups.setdefault(r, set()).add(ordinal)
-    assert sorted(map(sorted, groups.values())) == [[0, 1, 2], [3], [4, 5], [6, 7]]
-    empty = spark.createDataFrame([], SCHEMA)
-    assert resolve(empty).count() == 0
-
-
 def test_baseline_comes_first(spark):
     base = spark.createDataFrame([(7, "b1", None, None, None, "https://github.com/x", "Beta Tool", "https://beta.ai", None)], SCHEMA + ", name string, official_url string, url string")
     new = spark.createDataFrame([(0, "n1", "beta.ai", "beta tools", None, None), (1, "n2", None, "other", None, "https://www.github.com/x/")], SCHEMA)
