@@ -13,7 +13,7 @@ from .operators.providers import ask, scripted
 from .operators.report import numbered, quality_rows
 from .queries import query, table
 from .sources import files, scan, search, sinks
-from .streaming.ingest import ingest, running_counts
+from .streaming.ingest import ingest, running_counts, stored
 
 AS_OF = "2026-01-02 00:00:00"
 
@@ -80,14 +80,14 @@ def _(spark, d):
     for rest in (0, 1):  # the second load arrives after a restart
         events.where(F.col("event_id") % 2 == rest).write.mode("append").json(f"{base}/in")
         ingest(spark, f"{base}/in", schema, f"{base}/table", f"{base}/checkpoint", key="user_id", order="event_id")
-    return spark.read.schema(schema).parquet(f"{base}/table").select("user_id", "event_id")
+    return stored(spark, f"{base}/table", schema).select("user_id", "event_id")
 
 
 @query("stream_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def _(spark, d):
     base, events = scratch(spark, "counts"), table(spark, d, "events").select("event_type")
     events.repartition(3).write.parquet(f"{base}/in")
-    return running_counts(spark, f"{base}/in", "event_type string", "event_type", f"{base}/checkpoint", f"counts_{uuid.uuid4().hex}")
+    return running_counts(spark, f"{base}/in", "event_type string", "event_type", f"{base}/checkpoint", f"{base}/counts")
 
 
 TOPIC = "CASE o_orderstatus WHEN 'F' THEN 'mcp' WHEN 'O' THEN 'rag' ELSE 'ai-tools' END"

@@ -11,6 +11,7 @@ from cataloom.plans.catalogue import expansion, ingest
 from cataloom.queries import candidates
 from cataloom.sources import files, search, sinks
 from cataloom.streaming.ingest import ingest as stream_ingest
+from cataloom.streaming.ingest import stored
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "ordinal long, id string, domain string, canonical_name string, company_name string, github_repo_url string"
@@ -240,4 +241,18 @@ def test_stream_resumes(spark, tmp_path):
     second.coalesce(1).write.mode("append").json(source)
     stream_ingest(*args)
     stream_ingest(*args)
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t")).collect())) == [(0, "a"), (1, "b"), (4, "c")]
+    assert sorted(map(tuple, stored(spark, str(tmp_path / "t"), schema).collect())) == [(0, "a"), (1, "b"), (4, "c")]
+
+
+def test_known_keys_are_state(spark, tmp_path):
+    """A table that is there already, three micro-batches, a restart, and no read of the table after the first."""
+    source, table, schema = str(tmp_path / "in"), tmp_path / "t", "ordinal long, id string, v string"
+    spark.createDataFrame([(-1, "old", "x")], schema).write.parquet(str(table))
+    args = (spark, source, schema, str(table), str(tmp_path / "cp"))
+    for k, rows in enumerate(([(0, "a", None), (2, "b", "2"), (1, "b", "1")], [(3, "old", "y"), (4, None, "n")], [(5, "a", "z"), (6, None, "m"), (7, "c", "7")])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(source)
+        if k == 1:  # what is stored is out of reach, so only the state can know
+            table.rename(tmp_path / "away")
+        stream_ingest(*args, files_a_batch=1)
+    found = stored(spark, str(table), schema).unionAll(stored(spark, str(tmp_path / "away"), schema)).collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(-1, "old", "x"), (0, "a", None), (1, "b", "1"), (4, None, "n"), (7, "c", "7")], key=str)
