@@ -24,6 +24,8 @@ from .scratch import Scratch
 
 LEAST, MOST_WORDS, SHARE, TOP = 10, 3, 50, 2000
 WORD_BITS, PAIR_BITS = 24, 27
+#: Texts of about so many bytes are worked on at once; some twenty times as much is held meanwhile.
+SLICE_BYTES = 3 << 20
 #: A prefix with more pointers than this share of all is dealt out by its next words.
 HOT_SHARE = 200
 
@@ -111,7 +113,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 s = _Slice(part)
                 key, at, n = np.unique(s.lang * max(1, len(s.distinct)) + s.code, return_index=True, return_counts=True)
                 place = _place(s.hashes()[at], WORD_BITS)
@@ -128,7 +130,7 @@ def pair_counts(texts: DataFrame, word_bits: np.ndarray, least: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 s = _Slice(part)
                 h = s.hashes()
                 good = _is_set(sent.value, _place(h, WORD_BITS) - 1)
@@ -149,7 +151,7 @@ def pointers(texts: DataFrame, pair_bits: np.ndarray, most_words: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 s = _Slice(part)
                 h, m = s.hashes(), len(s.code)
                 follows = np.zeros(m + most_words, dtype=bool)
