@@ -24,6 +24,8 @@ from .scratch import Scratch
 
 LEAST, MOST_WORDS, SHARE, TOP = 10, 3, 50, 2000
 WORD_BITS, PAIR_BITS = 24, 27
+#: Groups of a language's phrases that are ranked apart first.
+SALTS = 16
 #: Texts of about so many bytes are worked on at once; some twenty times as much is held meanwhile.
 SLICE_BYTES = 3 << 20
 #: A prefix with more pointers than this share of all is dealt out by its next words.
@@ -295,7 +297,11 @@ def collocations(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WOR
     longer = inside.groupBy("lang", F.slice("words", F.col("i"), F.col("size")).alias("words")).agg(F.max("f").alias("longer"))
     kept = judged.join(longer, ["lang", "words"], "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("f") * share))
     best = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("f"), "phrase")
-    ranked = kept.withColumn("phrase", F.array_join("words", " ")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # the best of each of some groups of phrases first, so that what meets in one task has a bound
+    some = Window.partitionBy("lang", "salt").orderBy(F.desc("cut.score"), F.desc("f"), "phrase")
+    salted = kept.withColumn("phrase", F.array_join("words", " ")).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    fewer = salted.withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= top)
+    ranked = fewer.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.join(F.broadcast(total) if total.count() <= 10_000 else total, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("f").alias("a"), "cut.l", "cut.r", "n", F.col("cut.score").cast("long").alias("score")
     )
