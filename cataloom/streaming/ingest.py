@@ -67,7 +67,7 @@ def _firsts(stream: DataFrame, key: str, order: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                at = pc.sort_indices(b, sort_keys=[(order, "ascending", "at_end")]).to_numpy()
+                at = pc.sort_indices(b, sort_keys=[(order, "ascending")], null_placement="at_end").to_numpy()
                 codes = pc.dictionary_encode(b.column(key), null_encoding="encode").indices.to_numpy(zero_copy_only=False)
                 b = b.take(pa.array(at[np.sort(np.unique(codes[at], return_index=True)[1])]))
             yield b
