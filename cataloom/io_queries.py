@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .operators.providers import ask, scripted
 from .operators.report import numbered, quality_rows
 from .queries import query, table
-from .sources import files, scan, search, sinks
+from .sources import files, items, scan, search, sinks
 from .streaming.ingest import ingest, running_counts, stored
 
 AS_OF = "2026-01-02 00:00:00"
@@ -123,6 +123,53 @@ def _(spark, d):
     return search.candidates(read, size).select("query", "repo_id", "name")
 
 
+RECORDED = """
+WITH i AS (SELECT 'n' || s_nationkey AS query, s_suppkey AS id, s_suppkey * 37 % 5000 AS stars, s_suppkey % 3 = 0 AS mcp, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS idx FROM supplier)"""
+
+
+def _recorded_items(spark: SparkSession, d: str, size: int = 20) -> DataFrame:
+    """Pages of suppliers by nation, as a search would give them."""
+    place = F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey")) - 1
+    key = F.col("s_suppkey")
+    item = F.struct(
+        F.col("place").alias("_at"), key.alias("id"), F.col("s_name").alias("name"), F.lit("https://a.example").alias("html_url"), (key * 37 % 5000).cast("long").alias("stargazers_count"),
+        F.when(key % 3 == 0, F.array(F.lit("mcp"), F.lit("rag"))).otherwise(F.array(F.lit("mcp-server"))).alias("topics"),
+    )
+    own = table(spark, d, "supplier").withColumn("place", place).withColumn("page", (F.floor(F.col("place") / size) + 1).cast("int"))
+    pages = own.groupBy(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("query"), "page").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return pages.select("query", "page", F.lit(200).alias("status"), F.transform("items", lambda i: i.dropFields("_at")).alias("items"))
+
+
+@query("items_pushed", RECORDED + " SELECT query, id, stars FROM i WHERE mcp AND stars BETWEEN 100 AND 2500")
+def _(spark, d):
+    path = scratch(spark, "items")
+    items.record_items(_recorded_items(spark, d), path)
+    found = items.items(spark, path).where(items.slice_filter("topic:mcp stars:100..2500"))
+    return found.select("query", "id", F.col(items.STARS).alias("stars"))
+
+
+@query("items_in_order", RECORDED + " SELECT query, id, CAST(row_number() OVER (PARTITION BY query ORDER BY stars DESC, idx) - 1 AS INTEGER) AS place FROM i")
+def _(spark, d):
+    path = scratch(spark, "items")
+    items.record_items(_recorded_items(spark, d), path)
+    return items.items(spark, path, in_order=True).select("query", "id", "place")
+
+
+@query("items_stream", RECORDED + " SELECT query, count(*) AS n, max(idx // 20 + 1) AS pages FROM i GROUP BY 1")
+def _(spark, d):
+    """A stream that is started twice; the second load has the later pages."""
+    base, pages = scratch(spark, "items"), _recorded_items(spark, d)
+
+    def put(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/n{n}")
+
+    for now in (F.col("page") == 1, F.col("page") > 1):
+        pages.where(now).write.mode("append").partitionBy("query", "page").json(f"{base}/in/pages")
+        stream = items.stream_items(spark, f"{base}/in").writeStream.foreachBatch(put).option("checkpointLocation", f"{base}/checkpoint")
+        stream.trigger(availableNow=True).start().awaitTermination()
+    return stored(spark, f"{base}/out", items.ITEMS).groupBy("query").agg(F.count("*").alias("n"), F.max("page").cast("long").alias("pages"))
+
+
 @query("scan_progress", "SELECT 'web' AS source, o_orderpriority AS query, CAST(max(o_orderkey % 9) AS INTEGER) AS page, max(o_orderkey % 9) >= 8 AS completed FROM orders GROUP BY 2")
 def _(spark, d):
     path = scratch(spark, "progress")

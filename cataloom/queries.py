@@ -679,7 +679,36 @@ def _(spark, d):
     return similar_on_host(_normalized(spark, d).select("ordinal", "domain", "canonical_name"))
 
 
-@query("resolve_entities")
+#: Resolution in SQL, record after record: g.kept has the places of those kept so far.
+RESOLVED = CANDIDATES.replace("WITH base", "WITH RECURSIVE base") + NORMALIZED + f"""
+, r AS (SELECT row_number() OVER (ORDER BY ordinal) AS n, ordinal, 'tool_' || substr(sha256(domain || ':' || lower(coalesce(cname, ''))), 1, 16) AS id, domain, {_norm('github_repo_url')} AS repo,
+  lower(coalesce(cname, '')) AS name, lower(company_name) AS company FROM norm),
+t AS (SELECT *, {_tokens('name')} AS s, substr(name, 1, 3) AS block FROM r),
+h AS (SELECT b.n, a.n AS o, a.name AS p, b.name AS q, a.s AS ps, b.s AS qs FROM t a JOIN t b ON a.domain = b.domain AND a.domain <> '' AND a.n < b.n),
+hs AS (SELECT *, {_score('ps', 'qs')} AS score FROM h),
+fz AS (SELECT b.n, a.n AS o, a.s AS ps, b.s AS qs, a.company AS pc, b.company AS qc FROM t a JOIN t b ON a.block = b.block AND a.name <> '' AND b.name <> '' AND a.name <> b.name AND a.n < b.n
+  AND levenshtein(a.s, b.s) <= 0.12 * (len(a.s) + len(b.s)) + 0.001),
+fs AS (SELECT *, {_score('ps', 'qs')} AS score, {_score('pc', 'qc')} AS firm FROM fz),
+own AS (SELECT t.n, t.ordinal, t.id,
+  (SELECT list(a.n ORDER BY a.n) FROM t a WHERE a.id = t.id AND a.n < t.n) AS ids, (SELECT list(a.n ORDER BY a.n) FROM t a WHERE a.repo = t.repo AND a.n < t.n) AS repos,
+  (SELECT list(a.n ORDER BY a.n) FROM t a WHERE a.name = t.name AND a.name <> '' AND a.n < t.n) AS names,
+  (SELECT list({{'o': o, 'hit': score >= 70 OR contains(p, q) OR contains(q, p), 'score': score}} ORDER BY o) FROM hs WHERE hs.n = t.n) AS hosts,
+  (SELECT list({{'o': o, 'score': score}} ORDER BY o) FROM fs WHERE fs.n = t.n AND (score >= 95 OR (score >= 88 AND firm >= 85))) AS fuzzy FROM t),
+g AS (
+  SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS kept, CAST(NULL AS BIGINT) AS dup, CAST(NULL AS VARCHAR) AS method, CAST(NULL AS DOUBLE) AS score
+  UNION ALL
+  SELECT n, CASE WHEN dup IS NULL THEN list_append(kept, n) ELSE kept END, dup, method, score FROM (
+    SELECT n, kept, CASE WHEN i IS NOT NULL THEN i WHEN p IS NOT NULL THEN p WHEN h.hit THEN h.o WHEN m IS NOT NULL THEN m ELSE f.o END AS dup,
+      CASE WHEN i IS NOT NULL THEN 'exact_stable_id' WHEN p IS NOT NULL THEN 'github_repo_url_match' WHEN h.hit THEN 'domain_identity_match' WHEN m IS NOT NULL THEN 'canonical_name_exact_match' WHEN f.o IS NOT NULL THEN 'rapidfuzz_blocked_candidate' END AS method,
+      CASE WHEN i IS NOT NULL OR p IS NOT NULL THEN 100.0 WHEN h.hit THEN h.score WHEN m IS NOT NULL THEN 100.0 ELSE f.score END AS score FROM (
+        SELECT own.n, kept, list_max(list_filter(ids, lambda x: list_contains(kept, x))) AS i, list_max(list_filter(repos, lambda x: list_contains(kept, x))) AS p,
+          list_max(list_filter(names, lambda x: list_contains(kept, x))) AS m, list_filter(hosts, lambda x: list_contains(kept, x.o))[-1] AS h, list_filter(fuzzy, lambda x: list_contains(kept, x.o))[1] AS f
+        FROM g JOIN own ON own.n = g.n + 1)))"""
+
+
+@query("resolve_entities", RESOLVED + """
+SELECT own.ordinal, own.id, k.id AS duplicate_of, method AS match_method, round(score / 100, 2) AS match_confidence, false AS is_baseline_match
+FROM g JOIN own ON own.n = g.n LEFT JOIN own k ON k.n = g.dup""")
 def _(spark, d):
     return resolve(_normalized(spark, d)).select("ordinal", "id", "duplicate_of", "match_method", "match_confidence", "is_baseline_match")
 
@@ -689,7 +718,9 @@ def _(spark, d):
     return new_rows(table(spark, d, "documents").select("doc_id", "lang"), table(spark, d, "labels"), "doc_id", "lang")
 
 
-@query("mapping_log")
+@query("mapping_log", RESOLVED + """
+SELECT r.name AS raw_name, lower(coalesce(r.cname, '')) AS canonical_name, 'TOOL' AS entity_type, coalesce(method, 'direct') AS match_method,
+  coalesce(round(score / 100, 2), 1.0) AS confidence, 'fixture' AS source FROM g JOIN own ON own.n = g.n JOIN norm r ON r.ordinal = own.ordinal""")
 def _(spark, d):
     return mapping_rows(resolve(_normalized(spark, d)))
 
