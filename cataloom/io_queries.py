@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .operators.providers import ask, scripted
 from .operators.report import numbered, quality_rows
 from .queries import query, table
+from .sources.keyed import KeyedTable
 from .sources import files, items, scan, search, sinks
 from .streaming.ingest import ingest, running_counts, stored
 
@@ -42,6 +43,25 @@ def _(spark, d):
     return files.read_jsonl(spark, path, docs.schema)
 
 
+@query("json_array_round_trip", "SELECT c_custkey AS key, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment FROM customer")
+def _(spark, d):
+    path = scratch(spark, "array")
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("segment"))
+    n = sinks.write_json_array(rows, f"{path}/all.json")
+    return files.read_json_array(spark, f"{path}/all.json", rows.schema, n)
+
+
+@query("keyed_upsert", """
+SELECT c_custkey AS key, CASE WHEN c_custkey % 5 = 0 THEN 'second' WHEN c_custkey % 2 = 0 THEN 'first' ELSE 'second' END AS load, c_name AS name FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 5 = 0 OR c_custkey % 3 = 0""")
+def _(spark, d):
+    """Two upserts; keys of both hold the second's row."""
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    kept = KeyedTable(spark, scratch(spark, "keyed"), "key", "key long, load string, name string", 16)
+    kept.upsert(rows.where("key % 2 = 0").select("key", F.lit("first").alias("load"), "name"))
+    kept.upsert(rows.where("key % 5 = 0 or (key % 2 <> 0 and key % 3 = 0)").select("key", F.lit("second").alias("load"), "name"))
+    return kept.rows()
+
+
 @query("csv_round_trip", "SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name, c_mktsegment || '|\"x\", y' AS segment FROM customer")
 def _(spark, d):
     path = scratch(spark, "csv")
@@ -61,10 +81,10 @@ def _(spark, d):
 
 
 @query("rejected_log", """
-SELECT 'Gate' AS pipeline_stage, CASE WHEN o_totalprice > 200000 THEN 'DEAR' ELSE 'CHEAP' END AS reason, o_orderkey AS key FROM orders WHERE o_orderstatus = 'P'""")
+SELECT 'Gate' AS pipeline_stage, CASE WHEN o_totalprice > 200000 THEN 'DEAR' ELSE 'CHEAP' END AS reason, o_orderkey AS key FROM orders""")
 def _(spark, d):
     path = scratch(spark, "rejected")
-    rows = table(spark, d, "orders").where("o_orderstatus = 'P'").select(
+    rows = table(spark, d, "orders").select(
         F.col("o_orderkey").alias("key"), F.when(F.col("o_totalprice") > 200000, "DEAR").otherwise("CHEAP").alias("why")
     )
     sinks.append_rejected(rows, path, "why", "Gate", AS_OF)

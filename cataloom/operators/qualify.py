@@ -97,9 +97,17 @@ def qualify(records: DataFrame, rules: QualifyRules = QualifyRules()) -> DataFra
     return out.drop("_hard", "_soft", "_positive", "_hard_name", "_soft_name", "_hard_text", "_links", "_density", "_hard_reasons", "_soft_reasons", "_positive_reasons")
 
 
-def rule_changes(records: DataFrame, old: QualifyRules, new: QualifyRules, id_col: str = "id") -> DataFrame:
-    """(old_status, new_status, n, ids): how records move when the rules change; both rules in one scan."""
+def _both_rules(records: DataFrame, old: QualifyRules, new: QualifyRules) -> DataFrame:
+    """Both rules in one scan."""
     both = qualify(qualify(records, old).withColumnRenamed("qualification_status", "old_status"), new)
-    return both.groupBy("old_status", F.col("qualification_status").alias("new_status")).agg(
-        F.count("*").alias("n"), F.array_sort(F.collect_list(id_col)).alias("ids")
-    )
+    return both.withColumnRenamed("qualification_status", "new_status")
+
+
+def rule_changes(records: DataFrame, old: QualifyRules, new: QualifyRules) -> DataFrame:
+    """(old_status, new_status, n): how many records move when the rules change."""
+    return _both_rules(records, old, new).groupBy("old_status", "new_status").agg(F.count("*").alias("n"))
+
+
+def rule_change_members(records: DataFrame, old: QualifyRules, new: QualifyRules, id_col: str = "id") -> DataFrame:
+    """(id, old_status, new_status): a row for each record."""
+    return _both_rules(records, old, new).select(F.col(id_col).alias("id"), "old_status", "new_status")

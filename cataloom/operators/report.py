@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lex
 from ..functions.url import audit_domain
+from .scratch import Scratch
 
 
 def funnel(records: DataFrame) -> DataFrame:
@@ -35,11 +39,54 @@ def category_counts(records: DataFrame) -> DataFrame:
     return records.select(F.explode_outer("categories").alias("category")).where("category is not null").groupBy("category").agg(F.count("*").alias("n"))
 
 
+#: A range of values is cut into so many parts a round, and the last so many values are sorted.
+PARTS, FEW = 1024, 4096
+
+
+def ranked_value(rows: DataFrame, column: str, rank: int) -> float | int | None:
+    """The value at ``rank`` (from 0) of the values of a numeric column that are neither null nor NaN.
+
+    The range of values is narrowed to the part that holds the rank, by counts of at most 1024 parts a
+    round, until one value or at most 4096 rows are left; so no task gets more than that, however
+    often values repeat.  None where there are not so many values.
+    """
+    own = rows.select(F.col(column).alias("v")).where(F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double")))
+    facts = own.agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).first()
+    n, low, high = facts["n"], facts["low"], facts["high"]
+    if not 0 <= rank < n:
+        return None
+    while low < high and n > FEW:
+        width = (high - low) / PARTS
+        part = F.least(F.floor((F.col("v").cast("double") - float(low)) / float(width)), F.lit(PARTS - 1)).cast("int")
+        own = own.where((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high)))
+        counts = own.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("part").collect()
+        for c in counts:
+            if rank < c["n"]:
+                n, low, high = c["n"], c["low"], c["high"]
+                break
+            rank -= c["n"]
+        if len(counts) == 1:  # finer than numbers can tell apart
+            break
+    if low == high:
+        return low
+    left = own.where((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high)))
+    return left.groupBy("v").agg(F.count("*").alias("n")).orderBy("v").withColumn("upto", F.sum("n").over(Window.orderBy("v"))).where(F.col("upto") > rank).first()["v"]
+
+
+def exact_median(rows: DataFrame, column: str) -> float | None:
+    n = rows.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).count()
+    if not n:
+        return None
+    low = ranked_value(rows, column, (n - 1) // 2)
+    return float(low) if n % 2 else (float(low) + float(ranked_value(rows, column, n // 2))) / 2
+
+
 def numeric_summary(rows: DataFrame, column: str) -> DataFrame:
     """Count, smallest, largest and whole median of the values that are not null; zeros for none."""
+    median = exact_median(rows, column)
     return rows.agg(
         F.count(column).alias("n"), F.coalesce(F.min(column), F.lit(0)).alias("low"), F.coalesce(F.max(column), F.lit(0)).alias("high"),
-        F.coalesce(F.floor(F.median(column)).cast("long"), F.lit(0)).alias("median"),
+        F.lit(0 if median is None else math.floor(median)).cast("long").alias("median"),
     )
 
 
@@ -58,6 +105,26 @@ def first_accepted(records: DataFrame, target: int) -> DataFrame:
     return records.where("accepted").orderBy("ordinal").limit(target)
 
 
+def accept_in_slices(records: DataFrame, judge: Callable[[DataFrame], DataFrame], target: int, scratch: Scratch, first: int = 1000) -> tuple[DataFrame, int]:
+    """(the first ``target`` records that ``judge`` accepts, number of records judged).
+
+    Records are judged in slices of their ordinals, each twice as wide as the one before; the run ends
+    with the slice that fills the target, and what comes after it is not even read where the source
+    prunes by ordinal.  ``judge`` gives a DataFrame with ``ordinal`` and ``accepted`` and judges each
+    record by itself.
+    """
+    ends = records.agg(F.min("ordinal").alias("low"), F.max("ordinal").alias("high")).first()
+    kept, found, judged, low, width, step = None, 0, 0, ends["low"], first, 0
+    while low is not None and low <= ends["high"] and found < target:
+        own = records.where((F.col("ordinal") >= low) & (F.col("ordinal") < low + width))
+        part = scratch.save(judge(own), f"slice_{step}")
+        facts = part.agg(F.count("*").alias("n"), F.count_if(F.col("accepted")).alias("good")).first()
+        judged, found = judged + facts["n"], found + facts["good"]
+        kept = part if kept is None else kept.unionAll(part)
+        low, width, step = low + width, width * 2, step + 1
+    return first_accepted(judge(records.limit(0)) if kept is None else kept, target), judged
+
+
 def host_kind(host: Column, kinds: dict[str, tuple[str, ...]] = lex.HOST_KINDS, other: str = lex.OTHER_HOST_KIND) -> Column:
     out = F.lit(other)
     for kind, hosts in reversed(kinds.items()):
@@ -65,20 +132,24 @@ def host_kind(host: Column, kinds: dict[str, tuple[str, ...]] = lex.HOST_KINDS,
     return out
 
 
-def host_collisions(records: DataFrame, url: str = "official_url", id_col: str = "id", hosts: Column | None = None) -> DataFrame:
-    """(domain, collision_count, category, associated_tools, recommendation) for hosts of more than one record.
-
-    Counted first; only the members of colliding hosts are gathered, in order of ids.
-    """
+def _hosted(records: DataFrame, url: str, hosts: Column | None) -> DataFrame:
     named = records.withColumn("domain", hosts if hosts is not None else audit_domain(F.col(url)))
-    named = named.where((F.col("domain") != "") & ~F.col("domain").isin(*lex.CODE_HOSTS))
-    grouped = named.groupBy("domain").agg(
-        F.count("*").alias("collision_count"), F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col("name"), F.col(url).alias("official_url")))).alias("associated_tools")
-    )
-    many = grouped.where("collision_count > 1")
+    return named.where((F.col("domain") != "") & ~F.col("domain").isin(*lex.CODE_HOSTS))
+
+
+def host_collisions(records: DataFrame, url: str = "official_url", hosts: Column | None = None) -> DataFrame:
+    """(domain, collision_count, category, recommendation) for hosts of more than one record."""
+    many = _hosted(records, url, hosts).groupBy("domain").agg(F.count("*").alias("collision_count")).where("collision_count > 1")
     return many.withColumns({"category": host_kind(F.col("domain")), "recommendation": F.lit(lex.COLLISION_ADVICE)})
 
 
+def collision_members(records: DataFrame, url: str = "official_url", id_col: str = "id", hosts: Column | None = None) -> DataFrame:
+    """(domain, id, name, official_url): a row for each record of a host of more than one."""
+    named = _hosted(records, url, hosts)
+    many = named.groupBy("domain").agg(F.count("*").alias("n")).where("n > 1")
+    return named.join(many, "domain", "left_semi").select("domain", F.col(id_col).alias("id"), "name", F.col(url).alias("official_url"))
+
+
 def relationships(records: DataFrame) -> DataFrame:
     """Company develops tool, for records with a company."""
     return records.where(F.coalesce("company_name", F.lit("")) != "").select(

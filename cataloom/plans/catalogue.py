@@ -15,7 +15,7 @@ from ..operators.gate import validate
 from ..operators.grounding import description_flag
 from ..operators.integrity import read_back_differences
 from ..operators.qualify import QualifyRules, qualify, rule_changes
-from ..operators.report import expansion_rates, first_accepted, funnel, host_collisions, relationships
+from ..operators.report import collision_members, expansion_rates, first_accepted, funnel, host_collisions, relationships
 from ..operators.resolve import resolve
 from ..operators.shape import canonical, clean, extract, normalize, tagged_union, with_raw_columns, with_site_evidence
 from ..operators.verify import choose_logo, parsed_pages, verify_website, with_pages
@@ -87,9 +87,9 @@ def expansion(raw: DataFrame, baseline: DataFrame, known: DataFrame | None = Non
     return fresh, expansion_rates(facts)
 
 
-def replay(records: DataFrame, old: QualifyRules, new: QualifyRules, id_col: str = "id") -> DataFrame:
-    """How stored records move under newer rules."""
-    return rule_changes(records, old, new, id_col)
+def replay(records: DataFrame, old: QualifyRules, new: QualifyRules) -> DataFrame:
+    """How many stored records move under newer rules; ``rule_change_members`` names them."""
+    return rule_changes(records, old, new)
 
 
 def enrichment(records: DataFrame, pages: DataFrame, needs: tuple[str, ...] = ()) -> dict[str, DataFrame]:
@@ -100,7 +100,7 @@ def enrichment(records: DataFrame, pages: DataFrame, needs: tuple[str, ...] = ()
     asked = flagged.withColumn("needs_description", F.col("description").isNull() | F.col("id").isin(*needs) if needs else F.col("description").isNull())
     review = asked.where(F.col("quality_flag") != "VALID").select("id", "name", F.col("github_repo_url").alias("github_url"), "quality_flag", "description")
     return {
-        "records": tagged_union(base.drop("is_baseline"), asked.drop("is_baseline")), "review": review, "collisions": host_collisions(records),
+        "records": tagged_union(base.drop("is_baseline"), asked.drop("is_baseline")), "review": review, "collisions": host_collisions(records), "collision_members": collision_members(records),
         "website": asked.groupBy("verification_status").count(), "logo": asked.groupBy("logo_verified").count(), "quality": asked.groupBy("quality_flag").count(),
     }
 

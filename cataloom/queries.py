@@ -20,11 +20,11 @@ from .operators.classify import categories_by_join, classify
 from .operators.enrich import asked_responses, enrich, evidence_package, first_usable, judged_responses, provider_metrics
 from .operators.gate import validate
 from .operators.grounding import description_flag, grounding_reason
-from .operators.integrity import manifest_facts, package_checks, read_back_differences, record_signatures, signature_changes
-from .operators.qualify import QualifyRules, qualify, rule_changes
+from .operators.integrity import changed_records, hash_tree, manifest_facts, package_checks, read_back_differences, record_signatures, signature_changes
+from .operators.qualify import QualifyRules, qualify, rule_change_members, rule_changes
 from .operators.ranges import with_latest
 from .operators.report import (
-    category_counts, counts_by, expansion_rates, first_accepted, flag_counts, host_collisions, numeric_summary, reason_of, relationships,
+    accept_in_slices, category_counts, collision_members, counts_by, expansion_rates, first_accepted, flag_counts, host_collisions, numeric_summary, reason_of, relationships,
     top_reasons,
 )
 from .operators.resolve import first_arrivals, resolve, similar_on_host
@@ -191,7 +191,11 @@ def _(spark, d):
     return table(spark, d, "pages").select("page_id", text.clean_text_simple(F.col("html")).alias("clean"))
 
 
-@query("clean_text_full")
+# DuckDB has no NFKC: the pages' characters are composed already, and all their entities are named here
+@query("clean_text_full", r"""
+WITH t AS (SELECT page_id, regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'g') AS t FROM pages),
+u AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS t FROM t)
+SELECT page_id, nullif(trim(regexp_replace(regexp_replace(t, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '\s+', ' ', 'g')), '') AS clean FROM u""".replace("\\\\", "\\"))
 def _(spark, d):
     return table(spark, d, "pages").select("page_id", text.clean_text(F.col("html")).alias("clean"))
 
@@ -279,11 +283,26 @@ def _(spark, d):
     return table(spark, d, "pages").select("page_id", title_native(F.col("html")).alias("title"))
 
 
-@query("page_heads")
+ORIGIN = "regexp_extract(url, '^(https?://[^/?#]*)', 1)"
+FOLDER = "regexp_replace(regexp_extract(url, '^[^?#]*', 0), '[^/]*$', '')"
+
+
+@query("page_heads", f"SELECT page_id, url, trim(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&')) AS title, '' AS meta_description, {ORIGIN} || '/favicon.ico' AS logo_url, 'favicon_fallback' AS logo_source FROM pages")
 def _(spark, d):
     return parsed_pages(table(spark, d, "pages"))
 
 
+@query("page_heads_filled", f"""
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'one & two' WHEN 1 THEN 'of the graph' WHEN 2 THEN 'by name' ELSE '' END AS meta_description,
+  CASE page_id % 4 WHEN 0 THEN {ORIGIN} || '/a.png' WHEN 1 THEN {FOLDER} || 't.png' WHEN 2 THEN 'https://github.com/i.ico' ELSE {ORIGIN} || '/favicon.ico' END AS logo_url,
+  CASE page_id % 4 WHEN 0 THEN 'og:image' WHEN 1 THEN 'apple-touch-icon' WHEN 2 THEN 'favicon' ELSE 'favicon_fallback' END AS logo_source FROM pages""")
+def _(spark, d):
+    filled_in = ("<meta name='description' content=' one &amp; two '><meta property='og:image' content='/a.png'><link rel='icon' href='no.ico'>", "<meta property='og:description' content='of the graph'><link rel='shortcut icon' href='n.ico'><link rel='Apple-Touch-Icon' href='t.png'>",
+                 "<meta property='og:description' content='no'><meta name='description' content='by name'><link rel='shortcut icon' href='https://github.com/i.ico'>", "<meta property='og:image' content=''>")
+    own = F.element_at(F.array(*map(F.lit, filled_in)), (F.col("page_id") % 4 + 1).cast("int"))
+    return parsed_pages(table(spark, d, "pages").withColumn("html", F.replace(F.col("html"), F.lit("</title>"), F.concat(F.lit("</title>"), own)))).select("page_id", "meta_description", "logo_url", "logo_source")
+
+
 @query("name_tokens", CANDIDATES + r"""
 SELECT ordinal, array_to_string(list_transform(list_filter(regexp_extract_all(name, '[\p{L}\p{N}_]+'), lambda t: len(t) > 2), lambda t: lower(t)), ',') AS tokens FROM cand""")
 def _(spark, d):
@@ -420,14 +439,24 @@ def _(spark, d):
     return _qualified(spark, d).select("ordinal", F.array_join("qualification_reasons", " ; ").alias("reasons"))
 
 
-@query("rule_change_matrix", "WITH d AS (SELECT doc_id, regexp_matches(text, '(?i)license') AS o, regexp_matches(text, '(?i)(license|###)') AS n FROM documents) SELECT CASE WHEN o THEN 'REJECTED_NON_TOOL' ELSE 'QUALIFIED_TOOL' END AS old_status, CASE WHEN n THEN 'REJECTED_NON_TOOL' ELSE 'QUALIFIED_TOOL' END AS new_status, count(*) AS n, array_to_string(list_sort(list(doc_id)), ',') AS ids FROM d GROUP BY 1, 2")
-def _(spark, d):
-    docs = table(spark, d, "documents").select(
+LICENSE_RULES = (QualifyRules(hard_descriptions=("license",)), QualifyRules(hard_descriptions=("license", "###")))
+
+
+def _texts_as_records(spark, d) -> DataFrame:
+    return table(spark, d, "documents").select(
         "doc_id", F.lit("x").alias("name"), F.col("text").alias("description"), F.lit(None).cast("array<string>").alias("github_topics"), F.lit(False).alias("is_fork"),
         F.lit(False).alias("is_archived"), F.lit(None).cast("string").alias("readme_content"),
     )
-    old, new = QualifyRules(hard_descriptions=("license",)), QualifyRules(hard_descriptions=("license", "###"))
-    return rule_changes(docs, old, new, "doc_id").withColumn("ids", F.array_join(F.transform("ids", lambda x: x.cast("string")), ","))
+
+
+@query("rule_change_matrix", "WITH d AS (SELECT doc_id, regexp_matches(text, '(?i)license') AS o, regexp_matches(text, '(?i)(license|###)') AS n FROM documents) SELECT CASE WHEN o THEN 'REJECTED_NON_TOOL' ELSE 'QUALIFIED_TOOL' END AS old_status, CASE WHEN n THEN 'REJECTED_NON_TOOL' ELSE 'QUALIFIED_TOOL' END AS new_status, count(*) AS n FROM d GROUP BY 1, 2")
+def _(spark, d):
+    return rule_changes(_texts_as_records(spark, d), *LICENSE_RULES)
+
+
+@query("rule_change_members", "SELECT doc_id AS id, CASE WHEN regexp_matches(text, '(?i)license') THEN 'REJECTED_NON_TOOL' ELSE 'QUALIFIED_TOOL' END AS old_status, CASE WHEN regexp_matches(text, '(?i)(license|###)') THEN 'REJECTED_NON_TOOL' ELSE 'QUALIFIED_TOOL' END AS new_status FROM documents")
+def _(spark, d):
+    return rule_change_members(_texts_as_records(spark, d), *LICENSE_RULES, "doc_id")
 
 
 def _topic_sql(t: str) -> str:
@@ -512,7 +541,12 @@ def _(spark, d):
     return _verified(spark, d).select("ordinal", F.array_join(shown, ",").alias("evidence"))
 
 
-@query("logo_select")
+@query("logo_select", VERIFIED + f"""
+, l AS (SELECT *, coalesce(http_status = 200, false) AS reached, CASE ordinal % 4 WHEN 0 THEN {ORIGIN} || '/a.png' WHEN 1 THEN {FOLDER} || 't.png' WHEN 2 THEN 'https://github.com/i.ico' ELSE {ORIGIN} || '/favicon.ico' END AS logo,
+  CASE ordinal % 4 WHEN 0 THEN 'og:image' WHEN 1 THEN 'apple-touch-icon' WHEN 2 THEN 'favicon' ELSE 'favicon_fallback' END AS kind FROM w),
+k AS (SELECT *, {' OR '.join(f"contains(lower(logo), '{a}')" for a in lex.PLATFORM_ASSETS)} OR official_url IS NULL AS away FROM l)
+SELECT ordinal, CASE WHEN reached THEN logo END AS logo_url, reached AS logo_found, reached AND NOT away AS logo_verified, status = 'ACCESS_BLOCKED' AS logo_access_blocked,
+  CASE WHEN reached AND away AND kind = 'og:image' THEN 'github_social_preview' WHEN reached THEN kind END AS logo_source FROM k""")
 def _(spark, d):
     heads = F.element_at(F.array(F.lit("<meta property='og:image' content='/a.png'>"), F.lit("<link rel='Apple-Touch-Icon' href='t.png'>"), F.lit("<link rel='shortcut icon' href='https://github.com/i.ico'>"), F.lit("")), (F.col("page_id") % 4 + 1).cast("int"))
     pages = parsed_pages(table(spark, d, "pages").select("url", F.replace(F.col("html"), F.lit("</title>"), F.concat(F.lit("</title>"), heads)).alias("html"))).drop("title")
@@ -570,6 +604,14 @@ def _(spark, d):
     return first_accepted(_gated(spark, d), 50).select("ordinal", "name")
 
 
+@query("accept_in_slices", "SELECT o_orderkey AS ordinal FROM orders WHERE o_totalprice > 200000 AND o_orderstatus <> 'P' ORDER BY o_orderkey LIMIT 50")
+def _(spark, d):
+    """Orders are judged in slices until 50 are accepted."""
+    orders = table(spark, d, "orders").withColumnRenamed("o_orderkey", "ordinal")
+    judge = lambda r: r.select("ordinal", ((F.col("o_totalprice") > 200000) & (F.col("o_orderstatus") != "P")).alias("accepted"))
+    return accept_in_slices(orders, judge, 50, Scratch(spark, "accept"), first=100)[0].select("ordinal")
+
+
 @query("audit_status", GATED + """
 , a AS (SELECT *, contains(lower(name || ' ' || coalesce(description, '')), 'the of') OR contains(lower(coalesce(description, '')), 'license') AS bad,
   official_url IS NULL AND ordinal % 3 = 0 AS site, ordinal % 8 = 0 AS logo, description IS NOT NULL AND len(description) < 20 AS poor FROM z)
@@ -731,14 +773,23 @@ def _(spark, d):
 @query("domain_collisions", f"""
 WITH n AS (SELECT page_id, {_norm('url')} AS nurl, {_host('url')} AS domain, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS name FROM pages),
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nurl ORDER BY page_id) AS r FROM n) WHERE r = 1)
-SELECT domain, count(*) AS collision_count, 'SHARED_ORGANIZATION_DOMAIN' AS category, array_to_string(list_sort(list('tool_' || substr(sha256(domain || ':' || lower(name)), 1, 16))), ',') AS ids
-FROM f GROUP BY 1 HAVING count(*) > 1""")
+SELECT domain, count(*) AS collision_count, 'SHARED_ORGANIZATION_DOMAIN' AS category FROM f GROUP BY 1 HAVING count(*) > 1""")
 def _(spark, d):
+    return host_collisions(_hosted(spark, d), "url", F.col("_host")).select("domain", "collision_count", "category")
+
+
+def _hosted(spark, d) -> DataFrame:
     named = table(spark, d, "pages").select("page_id", url.normalize_url(F.col("url")).alias("url"), title_native(F.col("html")).alias("name"))
     once = first_arrivals(named, ["url"], ["page_id"]).withColumn("_host", url.host_of(F.col("url")))
-    held = once.withColumn("id", identity.tool_id(F.col("_host"), F.col("name")))
-    found = host_collisions(held, "url", "id", F.col("_host"))
-    return found.select("domain", "collision_count", "category", F.array_join(F.array_sort(F.transform("associated_tools", lambda t: t["id"])), ",").alias("ids"))
+    return once.withColumn("id", identity.tool_id(F.col("_host"), F.col("name")))
+
+
+@query("collision_members", f"""
+WITH n AS (SELECT page_id, {_norm('url')} AS nurl, {_host('url')} AS domain, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS name FROM pages),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nurl ORDER BY page_id) AS r FROM n) WHERE r = 1)
+SELECT domain, 'tool_' || substr(sha256(domain || ':' || lower(name)), 1, 16) AS id, nurl AS url FROM f WHERE domain IN (SELECT domain FROM f GROUP BY 1 HAVING count(*) > 1)""")
+def _(spark, d):
+    return collision_members(_hosted(spark, d), "url", "id", F.col("_host")).select("domain", "id", F.col("official_url").alias("url"))
 
 
 @query("funnel_counts", QUALIFIED + " SELECT count(*) AS discovered, count(*) FILTER (status = 'QUALIFIED_TOOL') AS qualified, count(*) FILTER (status = 'REVIEW_REQUIRED') AS review_required, count(*) FILTER (status = 'REJECTED_NON_TOOL') AS rejected, count(*) FILTER (readme IS NOT NULL) AS readme_found FROM s")
@@ -764,6 +815,12 @@ def _(spark, d):
     return numeric_summary(table(spark, d, "part"), "p_size")
 
 
+@query("numeric_skewed", "WITH v AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 7.5 ELSE CAST(l_extendedprice AS DOUBLE) END AS v FROM lineitem) SELECT count(v) AS n, min(v) AS low, max(v) AS high, CAST(floor(median(v)) AS BIGINT) AS median FROM v")
+def _(spark, d):
+    """A third of all values are one."""
+    return numeric_summary(table(spark, d, "lineitem").select(F.when(F.col("l_orderkey") % 3 == 0, 7.5).otherwise(F.col("l_extendedprice").cast("double")).alias("v")), "v")
+
+
 @query("conditional_counts", "SELECT count(*) FILTER (l_returnflag = 'R') AS returned, count(*) FILTER (l_discount > 0.05) AS discounted, count(*) FILTER (l_linestatus = 'O' AND l_quantity >= 25) AS open_large FROM lineitem")
 def _(spark, d):
     return flag_counts(
@@ -851,11 +908,41 @@ def _(spark, d):
     return package_checks(_records(spark, d)).select("records", "blank_name", "bad_source_url")
 
 
-@query("manifest_verify")
+HALVES = ", ".join(f"CAST(coalesce(sum(CAST('0x' || substr(sig, {1 + 15 * i}, 15) AS HUGEINT)), 0) AS VARCHAR) AS signature_sum_{i}" for i in (0, 1))
+
+
+@query("manifest_verify", GATED + f"""
+, sigs AS (SELECT sha256(concat_ws('|', 'tool_' || substr(sha256(lower(url) || ':' || lower(name)), 1, 16), name, coalesce(official_url, ''), coalesce(github_repo_url, ''), coalesce(description, ''))) AS sig FROM z WHERE reason IS NULL)
+SELECT count(*) AS record_count, {HALVES} FROM sigs""")
 def _(spark, d):
     return manifest_facts(_records(spark, d))
 
 
+def _supplied(spark, d) -> DataFrame:
+    none = F.lit(None).cast("string")
+    return table(spark, d, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"), none.alias("official_url"), none.alias("github_repo_url"), F.lit("x").alias("description"), "s_suppkey"
+    )
+
+
+@query("manifest_tree", f"""
+WITH r AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, sha256(concat_ws('|', CAST(s_suppkey AS VARCHAR), s_name, '', '', 'x')) AS sig FROM supplier),
+b AS (SELECT substr(sha256(id), 1, 2) AS prefix, count(*) AS record_count, {HALVES} FROM r GROUP BY 1),
+l2 AS (SELECT prefix, record_count, sha256(concat_ws(':', CAST(record_count AS VARCHAR), signature_sum_0, signature_sum_1)) AS digest FROM b),
+l1 AS (SELECT substr(prefix, 1, 1) AS prefix, sum(record_count) AS record_count, sha256(string_agg(digest, '' ORDER BY prefix)) AS digest FROM l2 GROUP BY 1),
+l0 AS (SELECT '' AS prefix, sum(record_count) AS record_count, sha256(string_agg(digest, '' ORDER BY prefix)) AS digest FROM l1)
+SELECT 2 AS level, prefix, record_count, digest FROM l2 UNION ALL SELECT 1, prefix, CAST(record_count AS BIGINT), digest FROM l1 UNION ALL SELECT 0, prefix, CAST(record_count AS BIGINT), digest FROM l0""")
+def _(spark, d):
+    return hash_tree(_supplied(spark, d))
+
+
+@query("manifest_changes", "SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 7 = 0 THEN 'removed' ELSE 'changed' END AS change FROM supplier WHERE s_suppkey % 7 = 0 OR s_suppkey % 5 = 0")
+def _(spark, d):
+    s = _supplied(spark, d)
+    later = s.where("s_suppkey % 7 <> 0").withColumn("description", F.when(F.col("s_suppkey") % 5 == 0, "y").otherwise("x"))
+    return changed_records(s, later)
+
+
 @query("signature_changes", "SELECT CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 7 = 0 THEN 'removed' ELSE 'changed' END AS change FROM supplier WHERE s_suppkey % 7 = 0 OR s_suppkey % 5 = 0")
 def _(spark, d):
     none = F.lit(None).cast("string")

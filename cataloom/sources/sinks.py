@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import json
+import uuid
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,16 +44,50 @@ def clear(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def replace_file(spark: SparkSession, new: Any, target: Any) -> None:
+    """Renames a Hadoop path over another in one step."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    own = target.getFileSystem(conf)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(own.getUri(), conf).rename(own.makeQualified(new), own.makeQualified(target), how)
+
+
 def write_json_array(rows: DataFrame, path: str) -> int:
-    """One JSON array in one file, streamed row by row; for exports that a person opens."""
-    n = 0
-    with open(path, "w", encoding="utf-8") as f:
-        f.write("[")
-        for r in rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator():
-            f.write((",\n" if n else "\n") + json.dumps(json.loads(r["j"]), indent=2, ensure_ascii=False))
-            n += 1
-        f.write("\n]\n")
-    return n
+    """One JSON array in one file, for exports that a person opens; returns the number of rows.
+
+    Tasks write their rows beside ``path``, by Spark's commit protocol; only when all are done are the
+    parts put together, streamed by the Hadoop file system, and the whole is renamed to ``path``.  A
+    run that fails leaves ``path`` as it was and no other file.
+    """
+    spark, between = rows.sparkSession, ",\n"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    parts, whole, target = (hadoop.Path(f"{path}{end}") for end in (f"-parts-{uuid.uuid4().hex}", f"-whole-{uuid.uuid4().hex}", ""))
+    system = target.getFileSystem(conf)
+    try:
+        made = rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false", "pretty": "true"}).alias("value"))
+        made.write.option("lineSep", between).text(parts.toString())
+        n = made.count()
+        files = sorted((f for f in system.listStatus(parts) if f.getPath().getName().startswith("part-") and f.getLen()), key=lambda f: f.getPath().getName())
+        out = system.create(whole, True)
+        try:
+            out.write(bytearray(b"[\n" if files else b"["))
+            for k, f in enumerate(files):
+                source = system.open(f.getPath())
+                try:  # the last row has nothing after it
+                    jvm.org.apache.commons.io.IOUtils.copyLarge(source, out, 0, f.getLen() - len(between) * (k == len(files) - 1))
+                finally:
+                    source.close()
+            out.write(bytearray(b"\n]\n"))
+        finally:
+            out.close()
+        replace_file(spark, whole, target)
+        return n
+    finally:
+        for left in (parts, whole):
+            system.delete(left, True)
 
 
 def csv_rows(records: DataFrame) -> DataFrame:
@@ -108,13 +143,15 @@ def write_csv(rows: DataFrame, path: str, skip_empty: bool = False) -> bool:
     return True
 
 
-def export_all(records: DataFrame, resolved: DataFrame, base: str) -> None:
-    """JSON lines, CSV and the mapping log; records and log are computed once each."""
+def export_all(records: DataFrame, resolved: DataFrame, base: str) -> int:
+    """All four exports: JSON lines, the JSON array, CSV and the mapping log; records and log are computed once each."""
     held, log = records.persist(), mapping_rows(resolved).persist()
     try:
         write_jsonl(held, f"{base}/tools_jsonl")
+        n = write_json_array(held, f"{base}/tools.json")
         write_csv(csv_rows(held), f"{base}/tools_csv")
         write_csv(log, f"{base}/entity_mapping_log", skip_empty=True)
+        return n
     finally:
         held.unpersist()
         log.unpersist()
