@@ -29,7 +29,7 @@ from .operators.report import (
 )
 from .operators.resolve import first_arrivals, resolve, similar_on_host
 from .operators.scratch import Scratch
-from .operators.shape import canonical, clean, extract, normalize, split_official_url, tagged_union
+from .operators.shape import canonical, clean, extract, normalize, split_official_url, tagged_union, verification_url, with_site_evidence
 from .operators.similar import similar_pairs
 from .operators.verify import choose_logo, parsed_pages, verify_website, with_pages
 from .sources.sinks import csv_rows, mapping_rows, sheet_rows
@@ -667,6 +667,46 @@ def _(spark, d):
     return _judged(spark, d).select("id", "provider_rank", "verdict")
 
 
+LOW, GOOD = "A short text here.", "A tool that reads and writes records of suppliers."
+
+
+@query("second_answers", f"""
+WITH r AS (SELECT s_suppkey AS id, s_suppkey % 6 AS k, s_suppkey // 6 % 2 = 0 AS priced FROM supplier)
+SELECT id, CASE WHEN k = 5 AND NOT priced THEN 'UNSUPPORTED_PRICING_CLAIM' ELSE 'VALID_GROUNDED' END AS verdict, k <> 5 OR priced AS usable,
+  CASE k WHEN 0 THEN '{GOOD}' WHEN 4 THEN 'A tool that stores tables of parts and of suppliers.' WHEN 5 THEN 'It costs $49 a month for every supplier there is.' ELSE '{LOW}' END AS text,
+  CASE WHEN k IN (0, 4, 5) THEN 'VALID' WHEN k = 1 THEN 'LOW_INFORMATION_GROUNDED' ELSE 'LOW_INFORMATION' END AS quality_flag FROM r""")
+def _(spark, d):
+    """First answers with second ones that are better, no better, not valid or missing; prices with and without evidence."""
+    k, none = F.col("s_suppkey") % 6, F.lit(None).cast("string")
+    pick = lambda *texts: F.element_at(F.array(*(none if t is None else F.lit(t) for t in texts)), (k + 1).cast("int"))
+    first = pick(LOW, LOW, LOW, LOW, "A tool that stores tables of parts and of suppliers.", "It costs $49 a month for every supplier there is.")
+    again = pick(GOOD, "Another short one.", "Short.", None, GOOD, None)
+    url = F.lit("https://a.example/")
+    package = F.struct(
+        F.lit("x").alias("tool_name"), F.lit("a site").alias("official_website_content"), F.lit("tables of suppliers").alias("repository_description"),
+        F.when(F.floor(F.col("s_suppkey") / 6) % 2 == 0, "it is $49 for all").otherwise("it is free").alias("readme_excerpt"),
+        F.array(F.lit("mcp")).alias("topics"), F.lit("Acme").alias("company_name"), F.array(url).alias("source_urls"),
+    )
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), first.alias("description"), again.alias("regenerated"), package.alias("evidence"))
+    answers = rows.drop("evidence").withColumns({"provider_rank": F.lit(1), "provider": F.lit("one"), "status": F.lit("SUCCESS"), "grounded": F.lit(True), "cited_urls": F.array(url), "cited_types": F.array(F.lit("README"))})
+    judged = judged_responses(answers, rows.select("id", "evidence"))
+    return judged.select("id", F.substring_index("verdict", ":", 1).alias("verdict"), "usable", "text", "quality_flag")
+
+
+@query("verification_url", CANDIDATES + " SELECT ordinal, coalesce(CASE WHEN ordinal % 3 = 0 THEN '' ELSE official_url END, '') AS given, CASE WHEN ordinal % 3 <> 0 AND official_url IS NOT NULL THEN official_url WHEN ordinal % 5 <> 0 THEN github_repo_url ELSE url END AS target FROM cand")
+def _(spark, d):
+    c = candidates(spark, d).withColumns({"official_url": F.when(F.col("ordinal") % 3 == 0, "").otherwise(F.col("official_url")), "github_repo_url": F.when(F.col("ordinal") % 5 != 0, F.col("github_repo_url"))})
+    return c.select("ordinal", F.coalesce("official_url", F.lit("")).alias("given"), verification_url().alias("target"))
+
+
+@query("site_evidence", VERIFIED + """
+SELECT ordinal, CASE WHEN status = 'ACCESSIBLE_VERIFIED' AND ordinal % 2 <> 0 THEN 2 ELSE 1 END AS n, CASE WHEN status = 'ACCESSIBLE_VERIFIED' AND ordinal % 2 <> 0 THEN 'VERIFIED_WEBSITE' ELSE 'CLAIM' END AS last FROM w""")
+def _(spark, d):
+    known = F.struct(F.when(F.col("ordinal") % 2 == 0, F.col("url")).alias("url"), F.lit("API").alias("source_type"), F.lit("HIGH").alias("trust_level"), F.lit("CLAIM").alias("evidence_type"))
+    found = with_site_evidence(_verified(spark, d).withColumn("evidence_sources", F.array(known)))
+    return found.select("ordinal", F.size("evidence_sources").alias("n"), F.element_at("evidence_sources", -1)["evidence_type"].alias("last"))
+
+
 @query("provider_fallback", RESPONSES + " SELECT conv_id AS id, min(turn) AS provider_rank FROM u WHERE usable GROUP BY 1")
 def _(spark, d):
     return first_usable(_judged(spark, d)).select("id", "provider_rank")
