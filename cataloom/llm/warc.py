@@ -229,6 +229,7 @@ def write_archives(records: DataFrame, path: str, date: str = DATE) -> None:
 
     Every archive starts with its own dictionary, trained on its first records, about a megabyte of them;
     where these are too few to train on, it has none.  A task that is run again writes the same bytes.
+    A task's file is never split, since only its beginning has the dictionary.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +265,7 @@ def write_archives(records: DataFrame, path: str, date: str = DATE) -> None:
         return coder, first + [coder.compress(x) for x in sample]
 
     made = records.select("page_id", "url", "payload", "digest", "size", "type", "refers_to").mapInArrow(run, "frame binary")
-    made.select(F.col("frame").cast("string").alias("value")).write.mode("overwrite").option("lineSep", BETWEEN).text(path)
+    made.select(F.col("frame").cast("string").alias("value")).write.mode("overwrite").option("lineSep", BETWEEN).option("maxRecordsPerFile", 0).text(path)
 
 
 def payload_digest(payload: Column) -> Column:
