@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,8 +59,8 @@ def all_slices() -> list[dict]:
 
 
 def scan_settings(text: str | None, source: str = "github") -> dict:
-    """per_page, max_pages and queries of a source, from a JSON or YAML text; what is missing or cannot
-    be read has its default."""
+    """per_page, max_pages and queries of a source, from a JSON or YAML text; what is missing has its default,
+    and so has a text that cannot be read, with a warning."""
     found: dict = {}
     if text:
         try:
@@ -69,7 +70,8 @@ def scan_settings(text: str | None, source: str = "github") -> dict:
                 import yaml
 
                 found = yaml.safe_load(text)
-            except Exception:  # no such module, or no such text: the defaults hold
+            except Exception as e:  # no such module, or no such text
+                warnings.warn(f"settings of {source} cannot be read, the defaults hold: {e}", stacklevel=2)
                 found = {}
     sources = found.get("sources") if isinstance(found, dict) else None
     own = (sources or {}).get(source) if isinstance(sources, dict) else None
