@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +24,11 @@ def with_pages(records: DataFrame, pages: DataFrame) -> DataFrame:
     return records.withColumn("_page_key", normalize_url(F.col("url"))).join(own, "_page_key", "left").drop("_page_key")
 
 
-def parsed_pages(pages: DataFrame) -> DataFrame:
-    """Pages with title, meta_description, logo_url and logo_source instead of html; one parse each."""
+def parsed_pages(pages: DataFrame, references: Collection[str] | None = None) -> DataFrame:
+    """Pages with title, meta_description, logo_url and logo_source instead of html; one parse each.  Where
+    ``references`` are given, no other character references are decoded."""
     kept = [c for c in pages.columns if c != "html"]
-    return pages.withColumn("_head", head_of(F.coalesce("html", F.lit("")), F.col("url"))).select(*kept, "_head.*")
+    return pages.withColumn("_head", head_of(F.coalesce("html", F.lit("")), F.col("url"), references)).select(*kept, "_head.*")
 
 
 def _evidence(kind: str, source: Column, value: Column, result: Column) -> Column:

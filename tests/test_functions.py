@@ -118,3 +118,9 @@ def test_head():
 def test_a_reference_that_is_cut_stays_as_it_is(spark):
     values = ["<p>a &amp b&am</p>", "<p>a &amp;amp; &amp;lt;b &quot</p>", "<b>&notit; &copy; &#38; &#x26; &</b>", "<p>&amp"]
     assert column(spark, values, text.clean_text) == ["a &amp b&am", "a &amp; &lt;b &quot", "&notit; © & & &", "&amp"]
+
+
+def test_references_in_heads():
+    assert head("<title>a &amp b &quot;c&quot; &amp;lt;</title>", "https://a.b/")[0] == 'a &amp b "c" &lt;'
+    page = "<title>a &amp b &quot;c&quot; &amp;lt;</title><meta name='description' content='d &amp; e'>"
+    assert head(page, "https://a.b/", ("amp",))[:2] == ("a &amp b &quot;c&quot; &lt;", "d & e")
