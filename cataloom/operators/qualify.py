@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as lex
 from ..functions.rules import any_part, first_match, has, listed, words, yes
 from ..functions.text import link_count, link_density
+from .report import counted_with_values
 
 
 @dataclass(frozen=True)
@@ -103,9 +104,12 @@ def _both_rules(records: DataFrame, old: QualifyRules, new: QualifyRules) -> Dat
     return both.withColumnRenamed("qualification_status", "new_status")
 
 
-def rule_changes(records: DataFrame, old: QualifyRules, new: QualifyRules) -> DataFrame:
-    """(old_status, new_status, n): how many records move when the rules change."""
-    return _both_rules(records, old, new).groupBy("old_status", "new_status").agg(F.count("*").alias("n"))
+def rule_changes(records: DataFrame, old: QualifyRules, new: QualifyRules, id_col: str | None = None) -> DataFrame:
+    """(old_status, new_status, n): how many records move when the rules change; with ``id_col``, of whole numbers,
+    also ``ids``, all of a change in order and comma-joined, put together by ranges of 4096 numbers."""
+    if id_col is None:
+        return _both_rules(records, old, new).groupBy("old_status", "new_status").agg(F.count("*").alias("n"))
+    return counted_with_values(rule_change_members(records, old, new, id_col), ["old_status", "new_status"], "id", F.shiftright("id", 12))
 
 
 def rule_change_members(records: DataFrame, old: QualifyRules, new: QualifyRules, id_col: str = "id") -> DataFrame:

@@ -26,6 +26,18 @@ def funnel(records: DataFrame) -> DataFrame:
     )
 
 
+def counted_with_values(rows: DataFrame, keys: list[str], value: str, piece: Column, count: str = "n", name: str = "ids") -> DataFrame:
+    """(``keys``, ``count``, ``name``): the number of rows of each key and all their values that are not null, in order,
+    comma-joined.  ``piece`` cuts the values of a key into ranges in their order; a range is sorted and joined by itself,
+    so what meets in one row is one string a range."""
+    parts = rows.groupBy(*keys, piece.alias("_piece")).agg(
+        F.count("*").alias("_n"), F.count(value).alias("_held"), F.array_join(F.transform(F.array_sort(F.collect_list(value)), lambda v: v.cast("string")), ",").alias("_part")
+    )
+    held = F.when(F.col("_held") > 0, F.struct("_piece", "_part"))
+    whole = parts.groupBy(*keys).agg(F.sum("_n").alias(count), F.array_sort(F.collect_list(held)).alias("_parts"))
+    return whole.select(*keys, count, F.when(F.size("_parts") > 0, F.array_join(F.transform("_parts", lambda p: p["_part"]), ",")).alias(name))
+
+
 def reason_of(reasons: str, first: int = 2) -> Column:
     return F.array_join(F.slice(reasons, 1, first), ", ")
 
@@ -137,9 +149,15 @@ def _hosted(records: DataFrame, url: str, hosts: Column | None) -> DataFrame:
     return named.where((F.col("domain") != "") & ~F.col("domain").isin(*lex.CODE_HOSTS))
 
 
-def host_collisions(records: DataFrame, url: str = "official_url", hosts: Column | None = None) -> DataFrame:
-    """(domain, collision_count, category, recommendation) for hosts of more than one record."""
-    many = _hosted(records, url, hosts).groupBy("domain").agg(F.count("*").alias("collision_count")).where("collision_count > 1")
+def host_collisions(records: DataFrame, url: str = "official_url", hosts: Column | None = None, id_col: str | None = None) -> DataFrame:
+    """(domain, collision_count, category, recommendation) for hosts of more than one record; with ``id_col``, of
+    strings, also ``ids``, all of a host in order and comma-joined, put together by ranges of their first characters."""
+    named = _hosted(records, url, hosts)
+    if id_col is None:
+        counted = named.groupBy("domain").agg(F.count("*").alias("collision_count"))
+    else:
+        counted = counted_with_values(named, ["domain"], id_col, F.substring(id_col, 1, 7), "collision_count")  # "tool_" and two digits
+    many = counted.where("collision_count > 1")
     return many.withColumns({"category": host_kind(F.col("domain")), "recommendation": F.lit(lex.COLLISION_ADVICE)})
 
 

@@ -108,3 +108,18 @@ def test_every_gathering_is_gone(spark):
     assert sorted(r["id"] for r in collision_members(rows).collect()) == ["1", "2"]
 
 
+
+
+def test_changes_of_rules_have_all_ids(spark):
+    from cataloom.operators.qualify import QualifyRules, rule_changes
+
+    texts = spark.range(-5000, 20_000).select(
+        F.when(F.col("id") != 7, F.col("id")).alias("id"), F.lit("x").alias("name"), F.when(F.col("id") % 5 == 0, "license").otherwise("###").alias("description"),
+        F.lit(None).cast("array<string>").alias("github_topics"), F.lit(False).alias("is_fork"), F.lit(False).alias("is_archived"), F.lit(None).cast("string").alias("readme_content"),
+    )
+    rules = QualifyRules(hard_descriptions=("license",)), QualifyRules(hard_descriptions=("license", "###"))
+    got = {r["old_status"]: (r["n"], r["ids"]) for r in rule_changes(texts.repartition(7), *rules, "id").collect()}
+    moved = [i for i in range(-5000, 20_000) if i % 5 and i != 7]
+    assert got["QUALIFIED_TOOL"] == (20_000, ",".join(map(str, moved))) and got["REJECTED_NON_TOOL"][0] == 5000
+    nameless = rule_changes(texts.withColumn("id", F.lit(None).cast("long")), *rules, "id").collect()
+    assert sorted((r["n"], r["ids"]) for r in nameless) == [(5000, None), (20_000, None)]
