@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +116,22 @@ def test_few_pairs_are_compared(spark, seed):
         assert candidate_pairs(rows.where("block is not null and s is not null").distinct(), threshold).count() < len(names) ** 2 / 40
 
 
+def test_many_names_meet_under_a_low_threshold(spark):
+    """6,000 names in one block, of several parts: all pairs of some of them are there, within a minute."""
+    from cataloom.operators.similar import similar_pairs
+
+    rng = random.Random(4)
+    names = sorted({" ".join("".join(rng.choice("aeinorstlé") for _ in range(rng.randint(2, 8))) for _ in range(3)) for _ in range(6000)} | {"long " * 30, "long " * 31})
+    rows = spark.createDataFrame([("", n) for n in names], "block string, s string")
+    start = time.monotonic()
+    found = similar_pairs(rows, 65.0).collect()
+    assert time.monotonic() - start < 60
+    some = set(names[::40]) | {"long " * 30}
+    want = {(*sorted((a, b)), ratio_of(a, b)) for a in some for b in names if a != b and ratio_of(a, b) >= 65}
+    got = [(r["x"], r["y"], r["score"]) for r in found]
+    assert len(set(got)) == len(got) and {g for g in got if g[0] in some or g[1] in some} == want and len(want) > 30
+
+
 @pytest.mark.parametrize("threshold", [60.0, 88.0, 100.0])
 def test_fuzzy_names_lose_no_pair(spark, threshold):
     """Lengths at and around the borders of the classes, blanks alone, and two blocks."""
