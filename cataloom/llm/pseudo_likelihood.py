@@ -115,6 +115,7 @@ class Vocabulary:
         self.of %= rows - own
         self.of += own
         self.of[top] = np.arange(len(top), dtype=np.int32)
+        self.ends: np.ndarray | None = None
 
     @staticmethod
     def of_counts(counts: np.ndarray) -> "Vocabulary":
@@ -129,16 +130,25 @@ class Vocabulary:
 
     def draw(self, at: np.ndarray) -> np.ndarray:
         """Rows at places from 0 to 1 of the corpus, laid out row by row."""
-        ends = np.cumsum(self.weight)
-        return np.minimum(np.searchsorted(ends, at * ends[-1], "right"), self.rows - 1)
+        if self.ends is None:
+            self.ends = np.cumsum(self.weight)
+        return np.minimum(np.searchsorted(self.ends, at * self.ends[-1], "right"), self.rows - 1)
+
+
+def _order(at: np.ndarray) -> np.ndarray:
+    """The stable order of whole numbers under 2**32, by halves of 16 bits, which NumPy sorts by digits."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    above = (at >> 16).astype(np.uint16)
+    return order[np.argsort(above[order], kind="stable")] if above.any() else order
 
 
 def _add_by_row(table: np.ndarray, squares: np.ndarray, at: np.ndarray, steps: np.ndarray, rate: float) -> None:
-    """Adds the sum of ``steps`` of each row, in a measure that falls with the squares added before."""
-    order = np.argsort(at, kind="stable")
-    at = at[order]
+    """Adds the sum of ``steps`` of each row, in a measure that falls with the squares added before; where there are
+    several rows for a step, they follow each other."""
+    order = _order(at)
+    at, each = at[order], len(at) // len(steps)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    own, total = at[first], np.add.reduceat(steps[order], first, axis=0)
+    own, total = at[first], np.add.reduceat(steps[order // each], first, axis=0)
     held = squares[own] + np.einsum("ij,ij->i", total, total) / np.float32(HIDDEN)
     squares[own] = held
     table[own] += total * (np.float32(rate) / np.sqrt(held + np.float32(1e-8)))[:, None]
@@ -215,7 +225,7 @@ class Learner:
             around, words = net.around(padded, places[own]), padded[places[own] + SIDE]
             drawn = voc.draw(self.rng.random(DRAWN))
             into, up, down = net.steps(around, words, share[own], drawn)
-            _add_by_row(net.table, self.squares[0], around.ravel(), np.repeat(into, len(OFFSETS), axis=0), RATE)
+            _add_by_row(net.table, self.squares[0], around.ravel(), into, RATE)
             _add_by_row(net.out, self.squares[1], np.concatenate([words, drawn]), np.concatenate([up, down]), RATE)
         self.places += len(places)
 

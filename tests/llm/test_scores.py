@@ -349,3 +349,17 @@ def test_balanced_cut():
     x = np.concatenate([rng.standard_normal((100, 6)) + 4 * c for c in np.eye(6)[:4]])
     parts = ann.balanced_partitions(ann.neighbour_graph(x), 4)
     assert np.bincount(parts, minlength=4).max() <= 110
+
+
+def test_rows_are_added_in_their_stable_order():
+    rng = np.random.default_rng(3)
+    for most in (5, 70_000, 1 << 31):
+        at = rng.integers(0, most, 3000)
+        assert (pseudo_likelihood._order(at) == np.argsort(at, kind="stable")).all()
+    at, steps = rng.integers(0, 40, 400), rng.standard_normal((100, pseudo_likelihood.HIDDEN)).astype(np.float32)
+    made = []
+    for s in (steps, np.repeat(steps, 4, axis=0)):
+        table, squares = np.zeros((40, pseudo_likelihood.HIDDEN), np.float32), np.zeros(40, np.float32)
+        pseudo_likelihood._add_by_row(table, squares, at, s, 0.1)
+        made.append((table, squares))
+    assert all((a == b).all() for a, b in zip(*made)) and made[0][0].any()
