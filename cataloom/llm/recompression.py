@@ -32,7 +32,7 @@ from .scratch import Scratch, columns, fresh
 
 WINDOW = 35
 LEVELS = 3
-GROUP_WORDS = 300_000
+GROUP_WORDS = 100_000
 CACHE = 400_000
 BROADCAST_KEYS = 500_000
 HOT = 200
@@ -197,7 +197,7 @@ def window_hashes(table: np.ndarray, starts: np.ndarray, window: int = WINDOW) -
 
 
 def _groups(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[list[bytes]]]]:
-    """(from, to, word hashes, lengths, words) of neighbouring texts, some 300,000 words each."""
+    """(from, to, word hashes, lengths, words) of neighbouring texts, some 100,000 words each."""
     at, held, split = 0, 0, []
     for i, text in enumerate(texts):
         split.append((text or b"").split())

@@ -295,3 +295,11 @@ def test_substrings_of_nothing(spark):
     assert rc.dedup_substrings(table(spark, [])).count() == 0
     kept = rc.without_repeats(table(spark, ["a b", None])).orderBy("doc_id").collect()
     assert [r["text"] for r in kept] == ["a b", None]
+
+
+def test_texts_are_split_in_small_groups():
+    from cataloom.llm import recompression
+
+    texts = [b"w " * 1000] * 250 + [None, b""]
+    found = list(recompression._groups(texts))
+    assert [(a, b) for a, b, *_ in found] == [(0, 100), (100, 200), (200, 252)] and sum(len(table) for _, _, table, *_ in found) == 250_000
